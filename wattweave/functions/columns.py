@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +10,19 @@ from pyspark.sql import functions as F
 from wattweave.schemas import DATE_FORMAT, DATETIME_FORMAT, MODEL_TYPES, PRODUCT_DEFAULT, PRODUCT_TYPES
 
 
+def sql_name(name: str) -> str:
+    """Exact column name for SQL text, for names such as ``sin(hour)`` or ``10_metre_u``."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by exact name, for names such as ``sin(hour)`` or ``10_metre_u``."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(sql_name(name))
+
+
+def select_names(df: DataFrame, names: list[str]) -> DataFrame:
+    """Select by exact names; one call however wide the table is."""
+    return df.selectExpr(*[sql_name(c) for c in names])
 
 
 # --- casts ------------------------------------------------------------------------
@@ -23,9 +32,9 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def _narrow(df: DataFrame, targets: dict[str, str]) -> DataFrame:
-    return df.select(
-        [
-            quoted(name).cast(targets[kind]).alias(name) if kind in targets else quoted(name)
+    return df.selectExpr(
+        *[
+            f"CAST({sql_name(name)} AS {targets[kind]}) AS {sql_name(name)}" if kind in targets else sql_name(name)
             for name, kind in df.dtypes
         ]
     )
@@ -99,7 +108,7 @@ def fill_null_from(df: DataFrame, sources: dict[str, str]) -> DataFrame:
 
 def drop_any_null(df: DataFrame) -> DataFrame:
     """Keep rows without nulls. NaN is a value and stays (``na.drop`` would remove it)."""
-    return df.filter(reduce(Column.__and__, [quoted(c).isNotNull() for c in df.columns]))
+    return df.filter(" AND ".join(f"{sql_name(c)} IS NOT NULL" for c in df.columns))
 
 
 def columns_except(df: DataFrame, excluded) -> list[str]:

@@ -7,11 +7,11 @@ otherwise shuffles, splitting the partitions of hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import day_of_epoch, micros_of_day, shift_days
-from wattweave.functions.columns import quoted
+from wattweave.functions.columns import quoted, select_names, sql_name
 from wattweave.operators.ordering import number_rows, repeat_rows
 from wattweave.schemas import LAG_DAYS, SEGMENT_KEYS, STATION_COLUMNS
 
@@ -28,7 +28,7 @@ def suffix_join(
     if repeated:
         raise ValueError(f"join would repeat columns {repeated}; choose another suffix")
     joined = left.join(right.withColumnsRenamed(renamed), on=on, how=how)
-    return joined.select([quoted(c) for c in result])
+    return select_names(joined, result)
 
 
 def centi_degrees(coordinate: Column) -> Column:
@@ -78,7 +78,7 @@ def add_entity_id(
     """
     keys = SEGMENT_KEYS if keys is None else keys
     ids = entity_ids(df if source is None else source, keys, out, **options)
-    return df.join(ids, on=keys, how="inner").select(quoted(out), *[quoted(c) for c in df.columns])
+    return df.join(ids, on=keys, how="inner").transform(select_names, [out, *df.columns])
 
 
 def lag_names(target: str, lag_days: int) -> dict[int, str]:
@@ -101,25 +101,29 @@ def add_target_lags(
     repeat the rows they are a lag of, as a join would. Different values for one entity
     and time raise; :func:`add_target_lags_by_join` handles that.
     """
-    at = quoted(ts)
-    matched = quoted(entity).isNotNull() & at.isNotNull()
+    key, value = sql_name(entity), sql_name(target)
+    matched = f"({key} IS NOT NULL AND {sql_name(ts)} IS NOT NULL)"
     # rows without a key have no lags; they are spread over all tasks
-    spread = F.when(~matched, F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(4096)))
-    keyed = df.withColumns({"__day": day_of_epoch(at), "__time": micros_of_day(at), "__spread": spread})
-    series = Window.partitionBy(quoted(entity), "__time", "__spread").orderBy("__day")
-    value, row = quoted(target), F.lit(1)
-    peers = series.rangeBetween(0, 0)
-    one_value = F.min(value).over(peers).eqNullSafe(F.max(value).over(peers)) & F.count(value).over(peers).isin(
-        0, F.count(row).over(peers)
-    )
-    clash = F.raise_error(F.lit(f"different values of {target} for one ({entity}, {ts})")).cast("int")
+    spread = f"IF({matched}, NULL, pmod(xxhash64({', '.join(map(sql_name, df.columns))}), 4096))"
+    at = quoted(ts)
+    keyed = df.withColumns({"__day": day_of_epoch(at), "__time": micros_of_day(at), "__spread": F.expr(spread)})
+
+    def over(first: str, days: str) -> str:
+        return f"{first} OVER (PARTITION BY {key}, __time, __spread ORDER BY __day RANGE BETWEEN {days} AND {days})"
+
+    def same_time(first: str) -> str:
+        return over(first, "CURRENT ROW")
+
+    rows, values = same_time("count(1)"), same_time(f"count({value})")
+    one_value = f"{same_time(f'min({value})')} <=> {same_time(f'max({value})')} AND {values} IN (0, {rows})"
+    clash = f"CAST(raise_error('different values of {target} for one ({entity}, {ts})') AS BIGINT)"
     names = lag_names(target, lag_days)
-    lags, repeats = {}, F.when(one_value | ~matched, 1).otherwise(clash)
-    for d, name in names.items():
-        frame = series.rangeBetween(-d, -d)
-        lags[name] = F.when(matched, F.max(value).over(frame))
-        repeats = repeats * F.when(matched, F.greatest(F.count(row).over(frame), row)).otherwise(row)
-    lagged = keyed.withColumns(lags | {"__copies": repeats}).drop("__day", "__time", "__spread")
+    lags = [
+        f"IF({matched}, {over(f'max({value})', f'{d} PRECEDING')}, NULL) AS {sql_name(name)}" for d, name in names.items()
+    ]
+    repeats = [f"greatest({over('count(1)', f'{d} PRECEDING')}, 1)" for d in names]
+    copies = f"CASE WHEN NOT {matched} THEN 1L WHEN {one_value} THEN {' * '.join(['1L', *repeats])} ELSE {clash} END"
+    lagged = keyed.selectExpr(*map(sql_name, df.columns), *lags, f"{copies} AS __copies")
     return repeat_rows(lagged, F.col("__copies"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattweave.functions.columns import columns_except, quoted
+from wattweave.functions.columns import columns_except, quoted, select_names
 from wattweave.session import durable
 
 # Up to this many rows one window task is the cheaper plan.
@@ -63,8 +63,8 @@ def number_rows(df: DataFrame, order: list[str], out: str, **options) -> DataFra
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
     """Each row ``times`` times; ``__copies`` is dropped."""
     names = columns_except(df, ["__copies"])
-    copies = F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("__copy")
-    return df.select(*[quoted(c) for c in names], copies).drop("__copy")
+    repeated = df.withColumn("__copies", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return select_names(repeated, names)
 
 
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:

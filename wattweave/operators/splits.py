@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,14 @@ def training_interval(
     return start, last.scalar()
 
 
+def interval_values(
+    df: DataFrame, ts: str = "datetime", train_months: int = 6, test_months: int = 3
+) -> tuple[datetime.datetime, datetime.datetime]:
+    """:func:`training_interval`, evaluated."""
+    last = F.max(quoted(ts))
+    return tuple(df.agg(minus_months(last, train_months + test_months), last).first())
+
+
 def date_column(df: DataFrame) -> str:
     """First column whose name contains "date"."""
     for name in df.columns:
@@ -33,10 +43,17 @@ def date_column(df: DataFrame) -> str:
 def between_times(df: DataFrame, start, end, column: str | None = None) -> DataFrame:
     """Rows with ``start < time <= end``; a date counts as its midnight."""
     at = quoted(column or date_column(df))
-    low, high = (x if isinstance(x, Column) else F.lit(x) for x in (start, end))
+    low, high = (_naive(x) for x in (start, end))
     return df.filter((at > low) & (at <= high))
 
 
+def _naive(value) -> Column:
+    """Literal of a Python date or time, without a zone."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(str(value)).cast("timestamp_ntz" if isinstance(value, datetime.datetime) else "date")
+
+
 def time_split(df: DataFrame, date: str = "date", test_months: int = 3, out: str = "split") -> DataFrame:
     """Mark rows before (latest date - test months) as train, the others as test."""
     border = df.agg(minus_months(F.max(quoted(date)), test_months)).scalar()

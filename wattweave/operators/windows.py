@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import epoch_micros
-from wattweave.functions.columns import quoted
+from wattweave.functions.columns import quoted, sql_name
 
 BUCKETS_PER_PERIOD = 48
 DAY = datetime.timedelta(days=1)
@@ -21,11 +20,6 @@ def _micros(period: datetime.timedelta) -> int:
     return period // datetime.timedelta(microseconds=1)
 
 
-def _add_up(*parts: Column) -> Column:
-    """Sum of parts where null stands for nothing seen."""
-    return reduce(Column.__add__, [F.coalesce(p, F.lit(0)) for p in parts])
-
-
 def rolling_mean_by_frame(
     df: DataFrame,
     by: list[str],
@@ -37,16 +31,17 @@ def rolling_mean_by_frame(
     """Append means over ``(t - period, t]`` with plain range frames.
 
     One sort per key serves all periods. The cost of a row grows with its frame and a
-    key is one task, so this is for short series, such as hourly values per county.
+    key is one task, so this is for short series, such as one forecast run.
     """
     keyed = df.withColumn("__at", epoch_micros(quoted(ts)))
-    series = Window.partitionBy(*[quoted(k) for k in by]).orderBy("__at")
-    means = {
-        rename(c, label): F.avg(quoted(c)).over(series.rangeBetween(1 - _micros(period), 0))
+    keys = ", ".join(map(sql_name, by))
+    means = [
+        f"avg({sql_name(c)}) OVER (PARTITION BY {keys} ORDER BY __at "
+        f"RANGE BETWEEN {_micros(period) - 1} PRECEDING AND CURRENT ROW) AS {sql_name(rename(c, label))}"
         for label, period in periods.items()
         for c in columns
-    }
-    return keyed.withColumns(means).drop("__at")
+    ]
+    return keyed.selectExpr(*map(sql_name, df.columns), *means)
 
 
 def rolling_mean(
@@ -57,6 +52,7 @@ def rolling_mean(
     periods: dict[str, datetime.timedelta],
     rename: Callable[[str, str], str] = "{0}_{1}".format,
     buckets_per_period: int = BUCKETS_PER_PERIOD,
+    short_series: bool = False,
 ) -> DataFrame:
     """Means over ``(t - period, t]``, one row per distinct key and time.
 
@@ -75,6 +71,9 @@ def rolling_mean(
     * whole buckets are added over the small table of bucket totals.
 
     Sums only ever add values of the frame, so nothing cancels.
+
+    ``short_series`` states that a key has few distinct times (an hourly grid, say): after
+    ties are added up, plain range frames over the key then do, with one shuffle less.
     """
     width = min(_micros(p) for p in periods.values()) // buckets_per_period
     spans = {label: _micros(p) // width for label, p in periods.items()}
@@ -82,6 +81,7 @@ def rolling_mean(
         if spans[label] * width != _micros(period):
             raise ValueError(f"period {label!r} is no multiple of the bucket width")
 
+    # Wide SQL lists: one expression per measure and part would be slow to build one by one.
     index = range(len(columns))
     sums, counts = [f"__s{i}" for i in index], [f"__n{i}" for i in index]
     parts = sums + counts
@@ -90,71 +90,75 @@ def rolling_mean(
     points = (
         df.groupBy(*[quoted(k).alias(a) for k, a in zip(by, keys)], quoted(ts).alias("__ts"))
         .agg(
-            F.count(F.lit(1)).alias("__copies"),
-            *[F.sum(quoted(c).cast("double")).alias(s) for c, s in zip(columns, sums)],
-            *[F.count(quoted(c)).alias(n) for c, n in zip(columns, counts)],
+            F.expr("count(1) AS __copies"),
+            *[F.expr(f"sum(CAST({sql_name(c)} AS DOUBLE)) AS {s}") for c, s in zip(columns, sums)],
+            *[F.expr(f"count({sql_name(c)}) AS {n}") for c, n in zip(columns, counts)],
         )
         .withColumn("__at", epoch_micros(F.col("__ts")))
         .withColumn("__bucket", F.floor(F.col("__at") / F.lit(width)).cast("long"))
     )
 
+    if short_series:
+        spanned = {
+            label: f"OVER (PARTITION BY {', '.join(keys)} ORDER BY __at "
+            f"RANGE BETWEEN {_micros(period) - 1} PRECEDING AND CURRENT ROW)"
+            for label, period in periods.items()
+        }
+        return points.selectExpr(
+            *[f"{a} AS {sql_name(k)}" for k, a in zip(by, keys)],
+            f"__ts AS {sql_name(ts)}",
+            "__copies",
+            *[
+                f"try_divide(sum({sums[c]}) {over}, sum({counts[c]}) {over}) AS {sql_name(rename(columns[c], label))}"
+                for label, over in spanned.items()
+                for c in index
+            ],
+        )
+
     # Kind 0 is the point itself, kind i its expiry for the i-th period.
     kinds = [(0, 0, 0)] + [(i, spans[p], _micros(periods[p])) for i, p in enumerate(periods, start=1)]
-    marks = F.array(
-        *[
-            F.struct(
-                F.lit(kind).alias("kind"),
-                (F.col("__bucket") + buckets).alias("bucket"),
-                (F.col("__at") + micros).alias("at"),
-            )
-            for kind, buckets, micros in kinds
-        ]
+    marks = ", ".join(
+        f"named_struct('__kind', {kind}, '__bucket', __bucket + {buckets}, '__at', __at + {micros})"
+        for kind, buckets, micros in kinds
     )
-    marked = points.select(*keys, "__ts", "__copies", *parts, F.explode(marks).alias("__mark")).select(
-        *keys,
-        "__ts",
-        "__copies",
-        *parts,
-        F.col("__mark.kind").alias("__kind"),
-        F.col("__mark.bucket").alias("__bucket"),
-        F.col("__mark.at").alias("__at"),
-        (-F.col("__mark.at")).alias("__back"),
+    marked = points.selectExpr(*keys, "__ts", "__copies", *parts, f"inline(array({marks}))")
+
+    bucket = ", ".join([*keys, "__bucket"])
+    arrived = f"PARTITION BY {bucket} ORDER BY __at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    pending = f"PARTITION BY {bucket} ORDER BY -__at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    edges = [f"sum(IF(__kind = 0, {p}, NULL)) OVER ({arrived}) AS {p}_in" for p in parts]
+    edges += [
+        f"sum(IF(__kind = {i}, {p}, NULL)) OVER ({pending}) AS {p}_out{i}" for i in range(1, len(kinds)) for p in parts
+    ]
+    rows = marked.selectExpr(*keys, "__ts", "__copies", "__kind", "__bucket", *edges).filter("__kind = 0")
+
+    right = [f"{k}_whole" for k in keys + ["__bucket"]]
+    inner = [
+        f"sum({p}) OVER (PARTITION BY {', '.join(keys)} ORDER BY __bucket "
+        f"RANGE BETWEEN {spans[label] - 1} PRECEDING AND 1 PRECEDING) AS {p}_mid{i}"
+        for i, label in enumerate(periods, start=1)
+        for p in parts
+    ]
+    totals = (
+        points.groupBy(*keys, "__bucket")
+        .agg(*[F.sum(p).alias(p) for p in parts])
+        .selectExpr(*[f"{k} AS {r}" for k, r in zip(keys + ["__bucket"], right)], *inner)
     )
+    same = " AND ".join(f"{k} <=> {r}" for k, r in zip(keys + ["__bucket"], right))
+    joined = rows.join(totals, F.expr(same), "left")
 
-    bucket = Window.partitionBy(*keys, "__bucket")
-    arrived = bucket.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
-    pending = bucket.orderBy("__back").rangeBetween(Window.unboundedPreceding, -1)
+    def whole_frame(part: str, i: int) -> str:
+        return f"(coalesce({part}_out{i}, 0) + coalesce({part}_mid{i}, 0) + coalesce({part}_in, 0))"
 
-    def of_kind(kind: int, part: str) -> Column:
-        return F.when(F.col("__kind") == kind, F.col(part))
-
-    edges = {f"{p}_in": F.sum(of_kind(0, p)).over(arrived) for p in parts}
-    for i in range(1, len(kinds)):
-        edges |= {f"{p}_out{i}": F.sum(of_kind(i, p)).over(pending) for p in parts}
-    rows = marked.withColumns(edges).filter(F.col("__kind") == 0)
-
-    totals = points.groupBy(*keys, "__bucket").agg(*[F.sum(p).alias(p) for p in parts])
-    inner = {}
-    for i, label in enumerate(periods, start=1):
-        whole = Window.partitionBy(*keys).orderBy("__bucket").rangeBetween(1 - spans[label], -1)
-        inner |= {f"{p}_mid{i}": F.sum(p).over(whole) for p in parts}
-    right = {k: f"{k}r" for k in keys + ["__bucket"]}
-    totals = totals.withColumns(inner).withColumnsRenamed(right).drop(*parts)
-
-    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in right.items()]
-    joined = rows.join(totals, reduce(Column.__and__, same), "left")
-
-    def mean(i: int, c: int) -> Column:
-        total, n = (
-            _add_up(F.col(f"{p}_out{i}"), F.col(f"{p}_mid{i}"), F.col(f"{p}_in")) for p in (sums[c], counts[c])
-        )
-        return F.when(n > 0, total / n)
-
-    return joined.select(
-        *[F.col(a).alias(k) for k, a in zip(by, keys)],
-        F.col("__ts").alias(ts),
+    return joined.selectExpr(
+        *[f"{a} AS {sql_name(k)}" for k, a in zip(by, keys)],
+        f"__ts AS {sql_name(ts)}",
         "__copies",
-        *[mean(i, c).alias(rename(columns[c], p)) for i, p in enumerate(periods, start=1) for c in index],
+        *[
+            f"try_divide({whole_frame(sums[c], i)}, {whole_frame(counts[c], i)}) AS {sql_name(rename(columns[c], p))}"
+            for i, p in enumerate(periods, start=1)
+            for c in index
+        ],
     )
 
 

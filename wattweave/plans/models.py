@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -38,13 +39,7 @@ class Parameters:
     def estimator(self):
         if self.objective == "l2":
             settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": self.seed} | self.options
-            return GBTRegressor(
-                featuresCol="features",
-                labelCol=LABEL,
-                lossType="squared",
-                validationIndicatorCol=IS_TEST,
-                **settings,
-            )
+            return GBTRegressor(featuresCol="features", labelCol=LABEL, lossType="squared", **settings)
         if self.objective == "poisson":
             settings = {"regParam": 0.01, "maxIter": 25} | self.options
             return GeneralizedLinearRegression(
@@ -75,10 +70,40 @@ def feature_stages(df: DataFrame) -> list:
 
 
 def fit(frame: DataFrame, parameters: Parameters = Parameters()) -> PipelineModel:
-    """Fit on the rows that are not test rows; trees stop when the test error stops improving."""
+    """Fit on the rows that are not test rows; see :func:`fit_with_curve`."""
+    return fit_with_curve(frame, parameters)[0]
+
+
+def fit_with_curve(
+    frame: DataFrame, parameters: Parameters = Parameters()
+) -> tuple[PipelineModel, list[tuple[int, float, float]]]:
+    """Fitted model and (round, train error, test error) of every boosting round.
+
+    Of the boosting rounds, those after the lowest mean absolute error on the test rows
+    are given up: rounds depend only on those before, so the trees are fitted again up to
+    that round. Only the errors per round come to the driver.
+    """
     frame = _plain_names(frame)
-    rows = frame if parameters.objective == "l2" else frame.filter(~F.col(IS_TEST))
-    return Pipeline(stages=[*feature_stages(frame), parameters.estimator()]).fit(rows)
+    train_rows = frame.filter(~F.col(IS_TEST))
+    encoder = Pipeline(stages=feature_stages(frame)).fit(train_rows)
+    encoded = encoder.transform(frame).select("features", LABEL, IS_TEST).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = encoded.filter(~F.col(IS_TEST)), encoded.filter(F.col(IS_TEST))
+    estimator = parameters.estimator()
+    fitted, curve = estimator.fit(train), []
+    if parameters.objective == "l2":
+        curve = _errors_by_round(fitted, train, test)
+        best = min(curve, key=lambda row: row[2])[0] if curve else estimator.getMaxIter()
+        if best < estimator.getMaxIter():
+            fitted = estimator.copy({estimator.maxIter: best}).fit(train)
+    encoded.unpersist()
+    return PipelineModel([*encoder.stages, fitted]), curve
+
+
+def _errors_by_round(trees, train: DataFrame, test: DataFrame) -> list[tuple[int, float, float]]:
+    if test.isEmpty():
+        return []
+    pairs = zip(trees.evaluateEachIteration(train, "absolute"), trees.evaluateEachIteration(test, "absolute"))
+    return [(i, float(a), float(b)) for i, (a, b) in enumerate(pairs, start=1)]
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -167,15 +192,10 @@ def weaker_than_noise(importances: DataFrame) -> DataFrame:
     return below_reference(importances, "feature", "importance", "noise")
 
 
-def learning_curve(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """Train and test error after each boosting round."""
-    trees = model.stages[-1]
-    encoded = PipelineModel(model.stages[:-1]).transform(_plain_names(frame)).select("features", LABEL, IS_TEST).cache()
-    train = trees.evaluateEachIteration(encoded.filter(~F.col(IS_TEST)), "absolute")
-    valid = trees.evaluateEachIteration(encoded.filter(F.col(IS_TEST)), "absolute")
-    encoded.unpersist()
-    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(train, valid), start=1)]
-    return frame.sparkSession.createDataFrame(rows, "iteration int, train double, valid double")
+def learning_curve(frame: DataFrame, parameters: Parameters = Parameters()) -> DataFrame:
+    """Train and test error of every boosting round."""
+    curve = fit_with_curve(frame, parameters)[1]
+    return frame.sparkSession.createDataFrame(curve, "iteration int, train double, valid double")
 
 
 def candidate_scores(frame: DataFrame, candidates: dict[str, Parameters]) -> DataFrame:

@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import add_time_features
-from wattweave.functions.columns import add_noise, drop_any_null, narrow_to_32_bits, product_name, quoted, segment
+from wattweave.functions.columns import (
+    add_noise,
+    drop_any_null,
+    narrow_to_32_bits,
+    product_name,
+    segment,
+    select_names,
+)
 from wattweave.operators.joins import add_entity_id, add_target_lags, add_target_lags_by_join, suffix_join
 from wattweave.operators.ordering import repeat_rows
-from wattweave.operators.splits import between_times, training_interval
+from wattweave.operators.splits import between_times, interval_values
 from wattweave.operators.windows import DAY, WEEK, rolling_mean, rolling_mean_by_frame
 from wattweave.schemas import (
     CONTRACT_KEYS,
@@ -66,9 +73,18 @@ def forecast_last_day(forecast: DataFrame) -> DataFrame:
 
 
 def measured_rolling(measured: DataFrame) -> DataFrame:
-    """7-day and 24-hour rolling means per county and time, from one pass."""
+    """7-day and 24-hour rolling means per county and time, from one pass.
+
+    Measurements are hourly means of a limited interval, so a county has one point per
+    hour of the interval however many readings there were.
+    """
     return rolling_mean(
-        measured, ["county"], "datetime", MEASURED_ROLLING, {"last_7_days": WEEK, "last_24_hours": DAY}
+        measured,
+        ["county"],
+        "datetime",
+        MEASURED_ROLLING,
+        {"last_7_days": WEEK, "last_24_hours": DAY},
+        short_series=True,
     )
 
 
@@ -117,17 +133,18 @@ def training_table(
     if (start is None) != (end is None):
         raise ValueError("give both start and end, or neither")
     if start is None:
-        start, end = training_interval(sources.metering, "datetime", train_months, test_months)
+        # Two timestamps come to the driver; as literals they prune partitions and row groups.
+        start, end = interval_values(sources.metering, "datetime", train_months, test_months)
     data = join_sources(sources.between(start, end))
     if model_type is not None:
         data = segment(data, model_type, is_business)
     data = drop_any_null(add_features(data, lag_days, lags_by_join, holidays))
     order = [c for c in TRAINING_TABLE.names if c in data.columns]
-    data = data.select([quoted(c) for c in order + [c for c in data.columns if c not in order]])
+    data = select_names(data, order + [c for c in data.columns if c not in order])
     if noise:
         data = add_noise(data, ["client_id", "datetime"], seed)
     if columns:
-        data = data.select([quoted(c) for c in columns + ["noise"] * noise])
+        data = select_names(data, columns + ["noise"] * noise)
     return data
 
 

@@ -316,7 +316,7 @@ def batch_score(spark, folder):
 @query("learning_curve")
 def learning_curve(spark, folder):
     frame = _recent(_table(spark, folder))
-    return models.learning_curve(models.fit(frame, _SMALL), frame)
+    return models.learning_curve(frame, _SMALL)
 
 
 @query("feature_importance")

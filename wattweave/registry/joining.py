@@ -96,9 +96,10 @@ def group_mean_first(spark, folder):
 @query(
     "two_key_enrichment",
     """
-    SELECT a.event_id, a.event_type, a.slot, b.events, round(b.value, 6) AS value_measured
+    SELECT a.event_id, a.event_type, a.slot, b.events, b.cents AS cents_measured
     FROM (SELECT event_id, event_type, date_trunc('hour', ts) AS slot FROM events) a
-    LEFT JOIN (SELECT event_type, date_trunc('hour', ts) + INTERVAL 1 DAY AS slot, count(*) AS events, avg(value) AS value
+    LEFT JOIN (SELECT event_type, date_trunc('hour', ts) + INTERVAL 1 DAY AS slot, count(*) AS events,
+                      sum(round(value * 100)::BIGINT)::DOUBLE / count(value) AS cents
                FROM events GROUP BY ALL) b
     ON a.event_type = b.event_type AND a.slot = b.slot
     """,
@@ -107,11 +108,11 @@ def two_key_enrichment(spark, folder):
     """Rows enriched with an hourly aggregate that became known a day later."""
     events = table(spark, folder, "events").withColumn("slot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     hourly = events.groupBy("event_type", (F.col("slot") + F.expr("INTERVAL 1 DAY")).alias("slot")).agg(
-        F.count(F.lit(1)).alias("events"), F.round(F.avg("value"), 6).alias("value")
+        F.count(F.lit(1)).alias("events"), F.avg(F.round(F.col("value") * 100).cast("bigint")).alias("cents")
     )
-    rows = events.select("event_id", "event_type", "slot", F.lit(None).cast("double").alias("value"))
+    rows = events.select("event_id", "event_type", "slot", F.lit(None).cast("double").alias("cents"))
     joined = joins.suffix_join(rows, hourly, ["event_type", "slot"], suffix="_measured")
-    return joined.drop("value")
+    return joined.drop("cents")
 
 
 @query(

@@ -17,7 +17,8 @@ def _sql(by: list[str], seconds: int, suffix: str) -> str:
     # in any order, so the means must agree to the last bit.
     keys = ", ".join(by)
     return f"""
-    SELECT {keys}, ts, avg(cents) OVER w AS cents_{suffix}, avg(k) OVER w AS k_{suffix}
+    SELECT {keys}, ts, sum(cents) OVER w::DOUBLE / count(cents) OVER w AS cents_{suffix},
+           sum(k) OVER w::DOUBLE / count(k) OVER w AS k_{suffix}
     FROM (SELECT *, round(value * 100)::BIGINT AS cents, (props::JSON ->> 'k')::INTEGER AS k FROM events)
     WINDOW w AS (PARTITION BY {keys} ORDER BY ts
                  RANGE BETWEEN INTERVAL '{seconds - 1}.999999 seconds' PRECEDING AND CURRENT ROW)

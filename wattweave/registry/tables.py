@@ -231,11 +231,11 @@ def client_ingest_stream(spark, folder):
     SELECT d::DATE AS date, count(o_orderkey) AS rows
     FROM range(TIMESTAMP '1998-02-01', TIMESTAMP '1998-03-13', INTERVAL 1 DAY) days(d)
     LEFT JOIN orders ON o_orderdate = d
-    WHERE d < TIMESTAMP '1998-02-20' OR d > TIMESTAMP '1998-02-25' GROUP BY 1
+    GROUP BY d HAVING d < TIMESTAMP '1998-02-20' OR d > TIMESTAMP '1998-02-25' OR count(o_orderkey) = 0
     """,
 )
 def daily_backfill(spark, folder):
-    """Days of an interval that are not written yet, with the rows each of them got."""
+    """Days of an interval that have no partition yet, with the rows each of them got."""
     path = posixpath.join(shared_dir(spark), f"orders-{uuid.uuid4().hex}")
     orders = table(spark, folder, "orders").withColumn("date", F.col("o_orderdate").cast("date")).drop("o_orderdate")
     sinks.write_daily(orders.filter("date BETWEEN '1998-02-20' AND '1998-02-25'"), path)

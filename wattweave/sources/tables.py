@@ -18,7 +18,7 @@ from wattweave.functions.columns import (
     midpoint,
     parse_date,
     parse_datetime,
-    quoted,
+    sql_name,
 )
 from wattweave.operators.aggregates import group_mean
 from wattweave.operators.joins import join_group_ranges, locate_stations
@@ -68,7 +68,9 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     text = {name for name, kind in df.dtypes if kind == "string"}
     whole = {f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
     df = cast_columns(df, {name: "double" for name in text & whole})
-    return df.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"CAST({sql_name(f.name)} AS {f.dataType.simpleString()}) AS {sql_name(f.name)}" for f in schema.fields]
+    )
 
 
 def shape_clients(raw: DataFrame) -> DataFrame:
