@@ -75,6 +75,8 @@ def rolling_mean(
     ``short_series`` states that a key has few distinct times (an hourly grid, say): after
     ties are added up, plain range frames over the key then do, with one shuffle less.
     """
+    if buckets_per_period < 2:
+        raise ValueError("a period needs at least two buckets")
     width = min(_micros(p) for p in periods.values()) // buckets_per_period
     spans = {label: _micros(p) // width for label, p in periods.items()}
     for label, period in periods.items():
@@ -95,7 +97,7 @@ def rolling_mean(
             *[F.expr(f"count({sql_name(c)}) AS {n}") for c, n in zip(columns, counts)],
         )
         .withColumn("__at", epoch_micros(F.col("__ts")))
-        .withColumn("__bucket", F.floor(F.col("__at") / F.lit(width)).cast("long"))
+        .withColumn("__bucket", F.expr(f"(__at - pmod(__at, {width}L)) DIV {width}L"))
     )
 
     if short_series:
