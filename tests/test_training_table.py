@@ -87,9 +87,10 @@ def test_segment_keeps_ids(sources, table):
 
 
 def test_lag_forms_agree(sources):
-    one = training_table(sources, noise=False)
-    many = training_table(sources, noise=False, lags_by_join=True)
-    assert one.exceptAll(many).count() == 0 and one.count() == many.count()
+    many = training_table(sources, noise=False, lags="join")
+    for lags in ("auto", "before", "after"):
+        one = training_table(sources, noise=False, lags=lags)
+        assert one.exceptAll(many).count() == 0 and one.count() == many.count()
 
 
 def test_several_blocks_per_hour_fan_out(sources):
@@ -102,7 +103,7 @@ def test_several_blocks_per_hour_fan_out(sources):
     without = join_sources(sources).filter("temperature_last_7_days IS NULL").count()
     assert join_sources(doubled).count() == 4 * with_weather + without
     one = training_table(doubled, noise=False)
-    many = training_table(doubled, noise=False, lags_by_join=True)
+    many = training_table(doubled, noise=False, lags="join")
     assert one.count() == many.count() > training_table(sources, noise=False).count()
     assert one.distinct().exceptAll(many.distinct()).count() == 0
 

@@ -60,7 +60,8 @@ def time_split(df: DataFrame, date: str = "date", test_months: int = 3, out: str
     return df.withColumn(out, F.when(quoted(date) < border, "train").when(quoted(date) >= border, "test"))
 
 
-def _month_number(ts: Column) -> Column:
+def month_number(ts: Column) -> Column:
+    """Months since the year 0, so that neighbours differ by one."""
     return F.year(ts) * 12 + F.month(ts) - 1
 
 
@@ -73,7 +74,7 @@ def month_roles(df: DataFrame, date: str = "date", train_months: int = 3, test_m
     out. Only distinct months are joined, never rows.
     """
     month = F.col("month_number")
-    present = df.select(_month_number(quoted(date)).alias("month_number")).filter(month.isNotNull()).distinct()
+    present = df.select(month_number(quoted(date)).alias("month_number")).filter(month.isNotNull()).distinct()
     folds = present.select(month.alias("fold"))
     fold = F.col("fold")
 
@@ -109,7 +110,7 @@ def month_folds(
     the filter reaches the months before they meet the rows.
     """
     roles = first_folds(month_roles(df, date, train_months, test_months), max_folds)
-    keyed = df.withColumn("month_number", _month_number(quoted(date)))
+    keyed = df.withColumn("month_number", month_number(quoted(date)))
     return keyed.join(roles, on="month_number").select(
         "fold_id", "test_start", "role", *[quoted(c) for c in df.columns]
     )
@@ -125,7 +126,7 @@ def first_folds(roles: DataFrame, max_folds: int | None) -> DataFrame:
 
 def fold_sizes(df: DataFrame, date: str = "date", train_months: int = 3, test_months: int = 1) -> DataFrame:
     """Rows per fold and role, from one count per month."""
-    monthly = df.groupBy(_month_number(quoted(date)).alias("month_number")).agg(F.count(F.lit(1)).alias("rows"))
+    monthly = df.groupBy(month_number(quoted(date)).alias("month_number")).agg(F.count(F.lit(1)).alias("rows"))
     roles = month_roles(df, date, train_months, test_months)
     return roles.join(monthly, on="month_number").groupBy("fold_id", "test_start", "role").agg(
         F.sum("rows").alias("rows")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
@@ -14,15 +16,17 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from wattweave.functions.columns import columns_except, quoted, segment
 from wattweave.operators.aggregates import below_reference, best_candidate, cumulative_share, mean_absolute_error
-from wattweave.operators.splits import first_folds, month_folds, month_roles, time_split
+from wattweave.operators.splits import first_folds, month_number, month_roles, time_split
 from wattweave.plans.training_table import Sources, scoring_table
 from wattweave.schemas import MODEL_TYPES, NON_FEATURE_COLUMNS
 from wattweave.sources.sinks import day_path
 
 LABEL, PREDICTION, IS_TEST = "target", "prediction", "is_test"
+PARALLEL_FITS = 4
 
 
 @dataclass(frozen=True)
@@ -137,23 +141,37 @@ def train_segments(
     ``frame`` turns the rows of a segment into features, label and ``is_test``.
     """
     parameters = parameters or {}
-    return {
-        (kind, side): fit(frame(segment(table, kind, side)), parameters.get(kind, Parameters()))
-        for kind, side in segments(by_business)
-    }
+    keys = segments(by_business)
+
+    def train(key: tuple[str, bool | None]) -> PipelineModel:
+        return fit(frame(segment(table, *key)), parameters.get(key[0], Parameters()))
+
+    return dict(zip(keys, _side_by_side(table.sparkSession, train, keys)))
+
+
+def _side_by_side(spark: SparkSession, function: Callable, items: list) -> list:
+    """Results in order; a few Spark fits run at once, so that small ones fill the cluster."""
+    if not items:
+        return []
+    tasks = [inheritable_thread_target(spark)(partial(function, item)) for item in items]
+    with ThreadPool(min(PARALLEL_FITS, len(tasks))) as pool:
+        return pool.map(lambda task: task(), tasks)
 
 
 def segment_scores(
     table: DataFrame, models: dict, frame: Callable[[DataFrame], DataFrame] = model_frame
 ) -> DataFrame:
     """Test rows and error per segment model."""
-    spark = table.sparkSession
-    rows = []
-    for (kind, side), model in models.items():
-        rows_of = frame(segment(table, kind, side)).filter(F.col(IS_TEST))
-        row = predict(model, rows_of).agg(F.count(F.lit(1)), mean_absolute_error(LABEL, PREDICTION)).first()
-        rows.append((kind, side, row[0], row[1]))
-    return spark.createDataFrame(rows, "model_type string, is_business boolean, test_rows bigint, mae double")
+
+    def score(item: tuple) -> tuple:
+        (kind, side), model = item
+        test = frame(segment(table, kind, side)).filter(F.col(IS_TEST))
+        return (kind, side, *predict(model, test).agg(F.count(F.lit(1)), mean_absolute_error(LABEL, PREDICTION)).first())
+
+    rows = _side_by_side(table.sparkSession, score, list(models.items()))
+    return table.sparkSession.createDataFrame(
+        rows, "model_type string, is_business boolean, test_rows bigint, mae double"
+    )
 
 
 def fold_scores(
@@ -163,16 +181,27 @@ def fold_scores(
     test_months: int = 3,
     max_folds: int | None = None,
 ) -> DataFrame:
-    """Fit and score each month fold; ``max_folds=1`` keeps the first one only."""
+    """Fit and score each month fold; ``max_folds=1`` keeps the first one only.
+
+    The months of the folds (never rows) come to the driver, so that each fold is a
+    filter on months, which prunes month partitions, and not a join.
+    """
     roles = first_folds(month_roles(table, "date", train_months, test_months), max_folds)
-    fold_ids = [r[0] for r in roles.select("fold_id").distinct().orderBy("fold_id").collect()]  # one per month
-    rows = []
-    folds = month_folds(table.drop(*NON_FEATURE_COLUMNS), "date", train_months, test_months)
-    for fold_id in fold_ids:
-        frame = folds.filter(F.col("fold_id") == fold_id).withColumn(IS_TEST, F.col("role") == "test")
-        frame = frame.drop("fold_id", "test_start", "role", "date")
-        rows.append((fold_id, test_error(fit(frame, parameters), frame)))
-    return table.sparkSession.createDataFrame(rows, "fold_id int, mae double")
+    months: dict[int, dict[str, list[int]]] = {}
+    for fold_id, role, number in roles.select("fold_id", "role", "month_number").collect():
+        months.setdefault(fold_id, {"train": [], "test": []})[role].append(number)
+
+    rows = table.drop(*NON_FEATURE_COLUMNS)
+    number = month_number(F.col("date"))
+
+    def score(fold_id: int) -> tuple[int, float]:
+        used = months[fold_id]
+        frame = rows.filter(number.isin(used["train"] + used["test"])).withColumn(IS_TEST, number.isin(used["test"]))
+        frame = frame.drop("date")
+        return fold_id, test_error(fit(frame, parameters), frame)
+
+    spark = table.sparkSession
+    return spark.createDataFrame(_side_by_side(spark, score, sorted(months)), "fold_id int, mae double")
 
 
 def feature_importances(spark: SparkSession, model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -200,10 +229,16 @@ def learning_curve(frame: DataFrame, parameters: Parameters = Parameters()) -> D
 
 def candidate_scores(frame: DataFrame, candidates: dict[str, Parameters]) -> DataFrame:
     """Test error of each parameter candidate."""
-    frame = frame.cache()
-    rows = [(name, p.objective, test_error(fit(frame, p), frame)) for name, p in candidates.items()]
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def score(item: tuple[str, Parameters]) -> tuple[str, str, float]:
+        name, parameters = item
+        return name, parameters.objective, test_error(fit(frame, parameters), frame)
+
+    spark = frame.sparkSession
+    rows = _side_by_side(spark, score, list(candidates.items()))
     frame.unpersist()
-    return frame.sparkSession.createDataFrame(rows, "candidate string, objective string, mae double")
+    return spark.createDataFrame(rows, "candidate string, objective string, mae double")
 
 
 def best_parameters(frame: DataFrame, candidates: dict[str, Parameters]) -> tuple[Parameters, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,12 +89,36 @@ def measured_rolling(measured: DataFrame) -> DataFrame:
     )
 
 
-def join_sources(sources: Sources) -> DataFrame:
-    """All tables joined to the metering rows; ``data_block_id`` keeps later data out."""
-    data = suffix_join(sources.metering, sources.clients, CONTRACT_KEYS, suffix="_client")
+def joins_repeat_rows(sources: Sources) -> bool:
+    """Whether some metering row could meet several rows of another table.
+
+    Reads the key columns of the five small tables only.
+    """
+    keys = {
+        "clients": CONTRACT_KEYS,
+        "gas": ["data_block_id"],
+        "electricity": ["datetime", "data_block_id"],
+        "forecast": WEATHER_KEYS,
+        "measured": ["county", "datetime"],
+    }
+    repeated = [
+        getattr(sources, name).groupBy(*on).count().filter("count > 1").select(F.lit(name)) for name, on in keys.items()
+    ]
+    return not reduce(DataFrame.union, repeated).isEmpty()
+
+
+def join_sources(sources: Sources, lag_days: int | None = None) -> DataFrame:
+    """All tables joined to the metering rows; ``data_block_id`` keeps later data out.
+
+    With ``lag_days`` the target lags are added before anything is joined, while rows
+    are narrow. That is the same as adding them afterwards if no join repeats rows.
+    """
+    data = add_entity_id(sources.metering, SEGMENT_KEYS, "client_id")
+    if lag_days is not None:
+        data = add_target_lags(data, lag_days=lag_days)
+    data = suffix_join(data, sources.clients, CONTRACT_KEYS, suffix="_client")
     data = suffix_join(data, sources.gas, ["data_block_id"], suffix="_gas")
     data = suffix_join(data, sources.electricity, ["datetime", "data_block_id"], suffix="_electricity")
-    data = add_entity_id(data, SEGMENT_KEYS, "client_id", source=sources.metering)
     data = suffix_join(data, sources.measured, WEATHER_KEYS, suffix="_measured")
     data = suffix_join(data, forecast_last_day(sources.forecast), WEATHER_KEYS, suffix="_forecast")
     # The block is no key here: with k blocks at one county and time, each of the two
@@ -102,10 +127,9 @@ def join_sources(sources: Sources) -> DataFrame:
     return repeat_rows(data, F.coalesce(F.col("__copies") * F.col("__copies"), F.lit(1)))
 
 
-def add_features(data: DataFrame, lag_days: int = LAG_DAYS, lags_by_join: bool = False, holidays=None) -> DataFrame:
-    """Target lags, calendar features, product names; everything narrowed to 32 bits."""
-    lags = add_target_lags_by_join if lags_by_join else add_target_lags
-    data = add_time_features(lags(data, lag_days=lag_days), holidays)
+def add_features(data: DataFrame, holidays=None) -> DataFrame:
+    """Calendar features and product names; everything narrowed to 32 bits."""
+    data = add_time_features(data, holidays)
     return narrow_to_32_bits(data.withColumn("product_type", product_name(F.col("product_type"))))
 
 
@@ -122,11 +146,15 @@ def training_table(
     noise: bool = True,
     seed: int = 42,
     lag_days: int = LAG_DAYS,
-    lags_by_join: bool = False,
+    lags: str = "auto",
     holidays=None,
 ) -> DataFrame:
     """The feature table of the given interval (default: the last train + test months).
 
+    ``lags`` says how target lags are found: "before" or "after" the joins, or by one
+    self-join per lag ("join"), which also takes several targets for one client and
+    time. "auto" is "before" unless a join repeats rows.
+
     With ``model_type`` only that segment is kept, after client ids are assigned and
     before features are built. Rows with any null are dropped.
     """
@@ -135,10 +163,15 @@ def training_table(
     if start is None:
         # Two timestamps come to the driver; as literals they prune partitions and row groups.
         start, end = interval_values(sources.metering, "datetime", train_months, test_months)
-    data = join_sources(sources.between(start, end))
+    sources = sources.between(start, end)
+    if lags == "auto":
+        lags = "after" if joins_repeat_rows(sources) else "before"
+    data = join_sources(sources, lag_days if lags == "before" else None)
     if model_type is not None:
         data = segment(data, model_type, is_business)
-    data = drop_any_null(add_features(data, lag_days, lags_by_join, holidays))
+    if lags != "before":
+        data = {"after": add_target_lags, "join": add_target_lags_by_join}[lags](data, lag_days=lag_days)
+    data = drop_any_null(add_features(data, holidays))
     order = [c for c in TRAINING_TABLE.names if c in data.columns]
     data = select_names(data, order + [c for c in data.columns if c not in order])
     if noise:

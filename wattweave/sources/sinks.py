@@ -96,7 +96,8 @@ def backfill_daily(
     rows = df.filter(quoted(date).between(F.lit(start), F.lit(end))).join(todo, on=date, how="left_semi")
     if days:
         write_daily(rows, path, date)
-        written = read_table(spark, path).groupBy(quoted(date)).agg(F.count(F.lit(1)).alias("rows"))
+        mine = F.make_date(*DAY_PARTS).isin(days)  # partition columns only: other days are not read
+        written = read_table(spark, path).filter(mine).groupBy(quoted(date)).agg(F.count(F.lit(1)).alias("rows"))
         todo = todo.join(written, on=date, how="left")
     else:
         todo = todo.withColumn("rows", F.lit(0).cast("bigint"))
