@@ -99,5 +99,8 @@ def test_candidates(table):
     }
     best, scores = models.best_parameters(frame, candidates)
     assert scores.count() == 3 and best == candidates["trees"]
+    space = {"maxDepth": [2, 3, 4], "stepSize": [0.1, 0.2]}
+    drawn = models.sample_candidates(space, 5, seed=1)
+    assert drawn == models.sample_candidates(space, 5, seed=1) != models.sample_candidates(space, 5, seed=2)
     with pytest.raises(ValueError):
         models.Parameters("huber").estimator()

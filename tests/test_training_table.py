@@ -5,7 +5,16 @@ from pyspark.sql import functions as F
 
 import fixture
 from wattweave import schemas
-from wattweave.plans.training_table import join_sources, read_sources, scoring_table, training_table
+from wattweave.plans.training_table import (
+    JoinFacts,
+    add_weather_history,
+    join_facts,
+    join_sources,
+    read_sources,
+    scoring_table,
+    store_sources,
+    training_table,
+)
 from wattweave.sources import tables
 
 
@@ -99,9 +108,11 @@ def test_several_blocks_per_hour_fan_out(sources):
 
     again = sources.measured.withColumn("data_block_id", (F.col("data_block_id") + 100).cast("smallint"))
     doubled = replace(sources, measured=sources.measured.union(again))
-    with_weather = join_sources(sources).filter("temperature_last_7_days IS NOT NULL").count()
-    without = join_sources(sources).filter("temperature_last_7_days IS NULL").count()
-    assert join_sources(doubled).count() == 4 * with_weather + without
+    facts = join_facts(sources)
+    assert not facts.repeats and join_facts(doubled).repeats
+    with_weather = join_sources(sources, facts).filter("temperature_last_7_days IS NOT NULL").count()
+    without = join_sources(sources, facts).filter("temperature_last_7_days IS NULL").count()
+    assert join_sources(doubled, join_facts(doubled)).count() == 4 * with_weather + without
     one = training_table(doubled, noise=False)
     many = training_table(doubled, noise=False, lags="join")
     assert one.count() == many.count() > training_table(sources, noise=False).count()
@@ -118,6 +129,27 @@ def test_scoring_interval(sources):
         training_table(sources, start=start)
 
 
+def test_large_tables_are_not_broadcast(sources):
+    """Beyond the size limit the same joins are shuffled, with the same result."""
+    facts = join_facts(sources)
+    large = JoinFacts({name: 10**9 for name in facts.rows}, facts.repeats)
+    assert all(facts.fits(name, sources.clients) and not large.fits(name, sources.clients) for name in facts.rows)
+    one, other = (join_sources(sources, f, 7) for f in (facts, large))
+    assert one.exceptAll(other).count() == 0 and one.count() == other.count()
+
+
+def test_stored_sources(sources, table, tmp_path):
+    stored = store_sources(sources, str(tmp_path), datetime.date(2024, 1, 31))
+    assert (tmp_path / "metering" / "year=2024" / "month=1" / "day=31").is_dir()
+    assert training_table(stored).exceptAll(table).count() == 0
+
+
+def test_weather_history(sources, table):
+    filled = add_weather_history(table.select("client_id", "datetime", "year", "month", *schemas.MEASURED_MEASURES), sources.measured)
+    assert filled.count() == table.count()  # one year of data: every row keeps its own value
+    assert filled.filter("temperature_monthly_historical != temperature").count() == 0
+
+
 def test_chosen_columns(sources):
     part = training_table(sources, columns=["date", "target", "eic_count"])
     assert part.columns == ["date", "target", "eic_count", "noise"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import partial
@@ -227,6 +228,19 @@ def learning_curve(frame: DataFrame, parameters: Parameters = Parameters()) -> D
     return frame.sparkSession.createDataFrame(curve, "iteration int, train double, valid double")
 
 
+def sample_candidates(
+    space: dict[str, list], n: int, seed: int = 42, objectives: tuple[str, ...] = ("l2",)
+) -> dict[str, Parameters]:
+    """``n`` seeded draws from lists of estimator options."""
+    draw = random.Random(seed)
+    return {
+        f"candidate {i}": Parameters(
+            draw.choice(objectives), seed, {name: draw.choice(list(values)) for name, values in space.items()}
+        )
+        for i in range(1, n + 1)
+    }
+
+
 def candidate_scores(frame: DataFrame, candidates: dict[str, Parameters]) -> DataFrame:
     """Test error of each parameter candidate."""
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)

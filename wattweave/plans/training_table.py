@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import posixpath
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -20,17 +22,19 @@ from wattweave.functions.columns import (
 from wattweave.operators.joins import add_entity_id, add_target_lags, add_target_lags_by_join, suffix_join
 from wattweave.operators.ordering import repeat_rows
 from wattweave.operators.splits import between_times, interval_values
-from wattweave.operators.windows import DAY, WEEK, rolling_mean, rolling_mean_by_frame
+from wattweave.operators.windows import DAY, WEEK, add_monthly_history, rolling_mean, rolling_mean_by_frame
 from wattweave.schemas import (
     CONTRACT_KEYS,
     FORECAST_ROLLING,
     LAG_DAYS,
+    MEASURED_MEASURES,
     MEASURED_ROLLING,
     SEGMENT_KEYS,
     TRAINING_TABLE,
     WEATHER_KEYS,
 )
 from wattweave.sources import tables
+from wattweave.sources.sinks import day_path, read_table, write_run
 
 
 @dataclass(frozen=True)
@@ -89,41 +93,66 @@ def measured_rolling(measured: DataFrame) -> DataFrame:
     )
 
 
-def joins_repeat_rows(sources: Sources) -> bool:
-    """Whether some metering row could meet several rows of another table.
+# Key by which the rows of each table meet a metering row.
+JOIN_KEYS = {
+    "clients": CONTRACT_KEYS,
+    "gas": ["data_block_id"],
+    "electricity": ["datetime", "data_block_id"],
+    "forecast": WEATHER_KEYS,
+    "measured": ["county", "datetime"],
+}
+BROADCAST_BYTES = 256 * 2**20
 
-    Reads the key columns of the five small tables only.
-    """
-    keys = {
-        "clients": CONTRACT_KEYS,
-        "gas": ["data_block_id"],
-        "electricity": ["datetime", "data_block_id"],
-        "forecast": WEATHER_KEYS,
-        "measured": ["county", "datetime"],
-    }
-    repeated = [
-        getattr(sources, name).groupBy(*on).count().filter("count > 1").select(F.lit(name)) for name, on in keys.items()
+
+@dataclass(frozen=True)
+class JoinFacts:
+    """Row counts of the tables that metering is joined with, and whether keys repeat."""
+
+    rows: dict[str, int]
+    repeats: bool
+
+    def fits(self, name: str, df: DataFrame) -> bool:
+        """Whether the counted rows, at 16 bytes per column, may be sent to every executor."""
+        return self.rows[name] * len(df.columns) * 16 <= BROADCAST_BYTES
+
+
+def join_facts(sources: Sources) -> JoinFacts:
+    """Count rows and repeated keys of the five smaller tables; reads their key columns only."""
+    counts = [
+        getattr(sources, name)
+        .groupBy(*on)
+        .count()
+        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.coalesce(F.max("count"), F.lit(0)).alias("most"))
+        .select(F.lit(name).alias("name"), "rows", "most")
+        for name, on in JOIN_KEYS.items()
     ]
-    return not reduce(DataFrame.union, repeated).isEmpty()
+    found = reduce(DataFrame.union, counts).collect()  # one row per table
+    return JoinFacts({r["name"]: r["rows"] for r in found}, any(r["most"] > 1 for r in found))
 
 
-def join_sources(sources: Sources, lag_days: int | None = None) -> DataFrame:
+def join_sources(sources: Sources, facts: JoinFacts, lag_days: int | None = None) -> DataFrame:
     """All tables joined to the metering rows; ``data_block_id`` keeps later data out.
 
-    With ``lag_days`` the target lags are added before anything is joined, while rows
-    are narrow. That is the same as adding them afterwards if no join repeats rows.
+    Tables whose counted size is small are broadcast, so that the wide rows of metering
+    are not shuffled; the others are left to Spark. With ``lag_days`` the target lags are
+    added before anything is joined, while rows are narrow. That is the same as adding
+    them afterwards if no join repeats rows.
     """
     data = add_entity_id(sources.metering, SEGMENT_KEYS, "client_id")
     if lag_days is not None:
         data = add_target_lags(data, lag_days=lag_days)
-    data = suffix_join(data, sources.clients, CONTRACT_KEYS, suffix="_client")
-    data = suffix_join(data, sources.gas, ["data_block_id"], suffix="_gas")
-    data = suffix_join(data, sources.electricity, ["datetime", "data_block_id"], suffix="_electricity")
-    data = suffix_join(data, sources.measured, WEATHER_KEYS, suffix="_measured")
-    data = suffix_join(data, forecast_last_day(sources.forecast), WEATHER_KEYS, suffix="_forecast")
+
+    def join(name: str, table: DataFrame, on: list[str], suffix: str = "_right") -> DataFrame:
+        return suffix_join(data, F.broadcast(table) if facts.fits(name, table) else table, on, suffix=suffix)
+
+    data = join("clients", sources.clients, CONTRACT_KEYS, "_client")
+    data = join("gas", sources.gas, ["data_block_id"], "_gas")
+    data = join("electricity", sources.electricity, ["datetime", "data_block_id"], "_electricity")
+    data = join("measured", sources.measured, WEATHER_KEYS, "_measured")
+    data = join("forecast", forecast_last_day(sources.forecast), WEATHER_KEYS, "_forecast")
     # The block is no key here: with k blocks at one county and time, each of the two
     # rolling tables repeats the row k times.
-    data = suffix_join(data, measured_rolling(sources.measured), ["county", "datetime"])
+    data = join("measured", measured_rolling(sources.measured), ["county", "datetime"])
     return repeat_rows(data, F.coalesce(F.col("__copies") * F.col("__copies"), F.lit(1)))
 
 
@@ -164,9 +193,10 @@ def training_table(
         # Two timestamps come to the driver; as literals they prune partitions and row groups.
         start, end = interval_values(sources.metering, "datetime", train_months, test_months)
     sources = sources.between(start, end)
+    facts = join_facts(sources)
     if lags == "auto":
-        lags = "after" if joins_repeat_rows(sources) else "before"
-    data = join_sources(sources, lag_days if lags == "before" else None)
+        lags = "after" if facts.repeats else "before"
+    data = join_sources(sources, facts, lag_days if lags == "before" else None)
     if model_type is not None:
         data = segment(data, model_type, is_business)
     if lags != "before":
@@ -181,6 +211,19 @@ def training_table(
     return data
 
 
+def add_weather_history(data: DataFrame, measured: DataFrame) -> DataFrame:
+    """Mean of every measurement over the same month of earlier years, else the row's own value."""
+    return add_monthly_history(data, measured, "datetime", MEASURED_MEASURES)
+
+
+def store_sources(sources: Sources, base: str, run_date: datetime.date) -> Sources:
+    """Write the loaded tables under the day of the run and go on from the written tables."""
+    for name, df in vars(sources).items():
+        write_run(df, posixpath.join(base, name), run_date)
+    spark = sources.metering.sparkSession
+    return Sources(**{name: read_table(spark, day_path(posixpath.join(base, name), run_date)) for name in vars(sources)})
+
+
 def scoring_table(sources: Sources, start, end, **options) -> DataFrame:
     """As :func:`training_table` for a given interval, without the noise column."""
     return training_table(sources, start=start, end=end, noise=False, **options)

@@ -20,6 +20,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The training table has about a hundred columns; compile its stages all the same.
+    "spark.sql.codegen.maxFields": "400",
     # Plans here have hundreds of columns; recording the Python line of each is slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
