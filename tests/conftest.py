@@ -14,7 +14,7 @@ def spark():
     session = build_session(
         "local[4]",
         "wattweave-tests",
-        spark_sql_shuffle_partitions="4",
+        spark_sql_shuffle_partitions="2",
         spark_ui_enabled="false",
         spark_ui_showConsoleProgress="false",
         spark_driver_memory="8g",
