@@ -123,9 +123,9 @@ def test_several_blocks_per_hour_fan_out(sources):
     with_weather = join_sources(sources, facts).filter("temperature_last_7_days IS NOT NULL").count()
     without = join_sources(sources, facts).filter("temperature_last_7_days IS NULL").count()
     assert join_sources(doubled, join_facts(doubled)).count() == 4 * with_weather + without
-    one = training_table(doubled, noise=False)
-    many = training_table(doubled, noise=False, lags="join")
-    assert one.count() == many.count() > training_table(sources, noise=False).count()
+    one = training_table(doubled, noise=False, lag_days=2).cache()
+    many = training_table(doubled, noise=False, lag_days=2, lags="join").cache()
+    assert one.count() == many.count() > training_table(sources, noise=False, lag_days=2).count()
     assert one.distinct().exceptAll(many.distinct()).count() == 0
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import day_of_epoch, micros_of_day, shift_days
 from wattweave.functions.columns import quoted, select_names, sql_name
-from wattweave.operators.ordering import number_rows, repeat_rows
+from wattweave.operators.ordering import SMALL_TABLE_ROWS, number_rows, repeat_rows
 from wattweave.schemas import LAG_DAYS, SEGMENT_KEYS, STATION_COLUMNS
 
 
@@ -77,7 +77,11 @@ def add_entity_id(
     numbering the keys does not run the plan of ``df``.
     """
     keys = SEGMENT_KEYS if keys is None else keys
-    ids = entity_ids(df if source is None else source, keys, out, **options)
+    known = (df if source is None else source).select(*keys).distinct()
+    rows = known.count()
+    ids = entity_ids(known, keys, out, known_rows=rows, **options)
+    # counted above: few ids go to every task, so that rows of a hot entity stay where they are
+    ids = F.broadcast(ids) if rows <= SMALL_TABLE_ROWS else ids
     return df.join(ids, on=keys, how="inner").transform(select_names, [out, *df.columns])
 
 

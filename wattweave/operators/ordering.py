@@ -57,7 +57,7 @@ def running_total(
 def number_rows(df: DataFrame, order: list[str], out: str, **options) -> DataFrame:
     """0-based position of each row in the total order of ``order`` (unique keys)."""
     counted = running_total(df.withColumn("__one", F.lit(1)), order, "__one", out, **options)
-    return counted.withColumn(out, (quoted(out) - 1).cast("int")).drop("__one")
+    return counted.withColumn(out, quoted(out) - 1).drop("__one")
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:

@@ -111,7 +111,8 @@ def month_folds(
     """
     roles = first_folds(month_roles(df, date, train_months, test_months), max_folds)
     keyed = df.withColumn("month_number", month_number(quoted(date)))
-    return keyed.join(roles, on="month_number").select(
+    # at most one row per pair of calendar months
+    return keyed.join(F.broadcast(roles), on="month_number").select(
         "fold_id", "test_start", "role", *[quoted(c) for c in df.columns]
     )
 

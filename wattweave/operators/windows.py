@@ -194,5 +194,5 @@ def add_monthly_history(
 ) -> DataFrame:
     """Join :func:`prior_year_month_mean` on year and month; nulls take the row's own value."""
     means = prior_year_month_mean(history, ts, columns, suffix)
-    joined = df.join(means, on=["year", "month"], how="left")
+    joined = df.join(F.broadcast(means), on=["year", "month"], how="left")  # one row per calendar month
     return joined.withColumns({f"{c}{suffix}": F.coalesce(quoted(f"{c}{suffix}"), quoted(c)) for c in columns})

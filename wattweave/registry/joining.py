@@ -118,7 +118,7 @@ def two_key_enrichment(spark, folder):
 @query(
     "dense_entity_id",
     """
-    SELECT (dense_rank() OVER (ORDER BY l_returnflag, l_linestatus, l_suppkey) - 1)::INTEGER AS client_id,
+    SELECT (dense_rank() OVER (ORDER BY l_returnflag, l_linestatus, l_suppkey) - 1)::BIGINT AS client_id,
            l_returnflag, l_linestatus, l_suppkey, l_orderkey, l_linenumber
     FROM lineitem
     """,
