@@ -22,8 +22,10 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from wattweave.llm.texts import per_text
+
 # The white space of Unicode, as in a character class.
-WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+"
 
 #: Words whose encodings a task keeps; beyond it the table starts anew (results stay the same).
@@ -184,12 +186,12 @@ def _digest(text: str) -> str:
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the id, n_tokens, ids_sha256 and decoded_sha256 of its whole text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = WordBpe(path)
         table = _WordTable(bpe)
         for batch in batches:
             rows = []
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+            texts = [t if isinstance(t, str) else "" for t in batch]
             for chunk in _chunks(texts, map(len, texts), 2_000_000):
                 split = [bpe.split(t) for t in chunk]
                 found = iter(table.of([w for words in split for w in words]))
@@ -202,26 +204,18 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                             _digest(" ".join([t[2] for t in tokens])),
                         )
                     )
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "id", batch["id"].to_numpy())
-            yield out
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _apply(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", id_col, text_col)
+    return per_text(docs, id_col, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the id, its token ids and their decoded text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = WordBpe(path)
         for batch in batches:
-            ids = [bpe.encode(t) if isinstance(t, str) else [] for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "ids": ids, "decoded": [bpe.decode(i) for i in ids]})
-
-    return _apply(docs, run, "ids array<int>, decoded string", id_col, text_col)
-
+            ids = [bpe.encode(t) if isinstance(t, str) else [] for t in batch]
+            yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(i) for i in ids]})
 
-def _apply(docs: DataFrame, run, columns: str, id_col: str, text_col: str) -> DataFrame:
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return rows.mapInPandas(run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
+    return per_text(docs, id_col, text_col, run, "ids array<int>, decoded string")

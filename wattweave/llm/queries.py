@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattweave.llm import bpe, decontaminate, near_dedup
 from wattweave.sources.views import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -26,6 +27,78 @@ def query(name: str, sql: str | None = None):
 
 @query("op3_bpe")
 def op3_bpe(spark, folder):
-    from wattweave.llm import bpe
-
     return bpe.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+_WORDS = r"""
+    WITH doc AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+    ), item AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+    )
+"""
+
+
+@query(
+    "op5_decontamination",
+    _WORDS
+    + """, wide AS (
+        SELECT item_id, ws, least(len(ws), 10) AS w FROM item WHERE len(ws) > 0
+    ), windows AS (
+        SELECT DISTINCT item_id, w, array_to_string(ws[p:p + w - 1], ' ') AS gram
+        FROM (SELECT *, unnest(range(1, len(ws) - w + 2)) AS p FROM wide)
+    ), grams AS (
+        SELECT doc_id, w, p, array_to_string(ws[p:p + w - 1], ' ') AS gram
+        FROM (SELECT doc_id, ws, w, unnest(range(1, len(ws) - w + 2)) AS p
+              FROM doc CROSS JOIN (SELECT DISTINCT w FROM windows))
+    ), found AS (
+        SELECT doc_id, item_id, p, g.w FROM grams g JOIN windows i ON g.w = i.w AND g.gram = i.gram
+    ), hit AS (
+        SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + w)) AS q FROM found) GROUP BY 1
+    ), names AS (
+        SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY 1
+    )
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+           coalesce(names.n, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(hit.n, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)
+    """,
+)
+def op5_decontamination(spark, folder):
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op9_minmax_dedup",
+    r"""
+    WITH RECURSIVE doc AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(ws[p:p + w - 1], ' ') AS gram
+        FROM (SELECT doc_id, ws, least(len(ws), 5) AS w, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS p
+              FROM doc WHERE len(ws) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+    ), common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b
+        ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM common c JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+        WHERE 100 * c.n >= 75 * (s.n + t.n - c.n)
+    ), both_ways AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM doc UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a
+    ), smallest AS (
+        SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1
+    )
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM doc JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
+)
+def op9_minmax_dedup(spark, folder):
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
