@@ -57,12 +57,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     For tables that several later steps read, and where later steps depend on values
-    that a re-run task could change, such as the partition number of a row.
+    that a re-run task could change, such as the partition number of a row. ``options``
+    are those of the Parquet writer.
     """
     path = posixpath.join(shared_dir(df.sparkSession), uuid.uuid4().hex)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
