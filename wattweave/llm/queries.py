@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattweave.llm import bpe, decontaminate, near_dedup
+from wattweave.llm import bpe, decontaminate, language, line_dedup, near_dedup
 from wattweave.sources.views import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_line_dedup")
+def op1_line_dedup(spark, folder):
+    return line_dedup.line_groups(table(spark, folder, "documents"))
+
+
 @query("op3_bpe")
 def op3_bpe(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
@@ -71,6 +76,11 @@ def op5_decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op7_language_id")
+def op7_language_id(spark, folder):
+    return language.report(table(spark, folder, "documents"))
+
+
 @query(
     "op9_minmax_dedup",
     r"""
