@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattweave.llm import bpe, decontaminate, language, line_dedup, near_dedup
+from wattweave.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality, toxicity
 from wattweave.sources.views import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -46,6 +46,11 @@ _WORDS = r"""
 """
 
 
+@query("op4_quality")
+def op4_quality(spark, folder):
+    return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     "op5_decontamination",
     _WORDS
@@ -112,3 +117,8 @@ def op7_language_id(spark, folder):
 )
 def op9_minmax_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, folder):
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
