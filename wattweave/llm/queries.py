@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattweave.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality, toxicity
+from wattweave.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    html_text,
+    language,
+    line_dedup,
+    near_dedup,
+    quality,
+    token_counts,
+    toxicity,
+)
 from wattweave.sources.views import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -30,6 +41,11 @@ def op1_line_dedup(spark, folder):
     return line_dedup.line_groups(table(spark, folder, "documents"))
 
 
+@query("op2_token_counts")
+def op2_token_counts(spark, folder):
+    return token_counts.token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 @query("op3_bpe")
 def op3_bpe(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
@@ -81,11 +97,21 @@ def op5_decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op6_html_text")
+def op6_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 @query("op7_language_id")
 def op7_language_id(spark, folder):
     return language.report(table(spark, folder, "documents"))
 
 
+@query("op8_multi_index_neighbours")
+def op8_multi_index_neighbours(spark, folder):
+    return ann.nearest(table(spark, folder, "embeddings"))
+
+
 @query(
     "op9_minmax_dedup",
     r"""
