@@ -1,0 +1,94 @@
+import random
+
+import pytest
+from conftest_llm import DATA, edited, sentence, unions
+
+from wattweave.llm import near_dedup
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    width = min(5, len(words))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
+
+
+def brute(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    ids = sorted(sets)
+    links = [
+        (a, b)
+        for k, a in enumerate(ids)
+        for b in ids[k + 1 :]
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    tops = unions(ids, links)
+    return {i: (len(sets[i]), tops[i], tops[i] == i) for i in ids}
+
+
+def found(df):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df).collect()}
+
+
+def test_equals_brute_force_with_groups_around_the_threshold(docs, rng):
+    rows, k = [], 0
+    for group in range(12):
+        base = sentence(rng, rng.choice([3, 8, 30, 120, 300]))
+        for copy in range(rng.choice([1, 2, 5, 25])):
+            rows.append((k, edited(rng, base, rng.choice([0, 0.01, 0.02, 0.03]))))
+            k += 1
+    rng.shuffle(rows)
+    assert found(docs(rows)) == brute(rows)
+
+
+def test_large_group_of_copies_and_of_near_copies(docs):
+    rng = random.Random(2)
+    base, common = sentence(rng, 90), sentence(rng, 12)
+    rows = [(i, base) for i in range(0, 300)]
+    rows += [(300 + i, edited(rng, base, 0.03)) for i in range(150)]
+    rows += [(500 + i, common + " " + sentence(rng, 60)) for i in range(100)]
+    assert found(docs(rows)) == brute(rows)
+
+
+def test_pairs_at_the_threshold(docs):
+    # 12 shingles in common of 16: linked; 11 of 15: not
+    words = [f"w{i}" for i in range(40)]
+    for shared, own, linked in [(16, (2, 2), True), (15, (2, 2), False)]:
+        left = words[:shared] + [f"a{i}" for i in range(own[0])]
+        right = words[:shared] + [f"b{i}" for i in range(own[1])]
+        result = found(docs([(1, " ".join(left)), (2, " ".join(right))]))
+        assert (result[2][1] == 1) is linked, (shared, result)
+
+
+def test_nulls_empty_short_long_and_case(docs):
+    long = " ".join(f"w{i % 9973}" for i in range(30_000))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "One two"), (5, "oNE\u000btwo"), (6, "one two three"), (7, long), (8, long + " end"), (9, "ÉTÉ"), (10, "été")]
+    assert found(docs(rows)) == brute(rows)
+
+
+def test_repeated_rows_missing_ids_and_extra_columns(clashing_docs):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, None)]
+    table = clashing_docs(rows)
+    result = sorted((str(r["doc_id"]), str(r["component_id"]), str(r["kept"])) for r in near_dedup.near_duplicates(table).collect())
+    assert result[:3] == [("1", "1", "True"), ("1", "1", "True"), ("2", "1", "False")] and len(result) == 5
+    kept = near_dedup.keep_one(table)
+    assert kept.columns == table.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "None", "None"]
+
+
+def test_empty_table(docs):
+    assert near_dedup.near_duplicates(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.76, 0.8])
+def test_signature_values_estimate_the_similarity(share):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    agree = []
+    for _ in range(60):
+        pool = rng.integers(0, 2**63, 700, dtype=np.uint64)
+        cut = int(500 * share / (1 + share) * 2 / 2)
+        both, left, right = pool[: 2 * cut], pool[2 * cut : 2 * cut + 500 - 2 * cut], pool[600:]
+        a, b = np.unique(np.concatenate([both, left])), np.unique(np.concatenate([both, right[: len(left)]]))
+        agree.append(len(set(near_dedup._bands(a)) & set(near_dedup._bands(b))))
+    assert min(agree) >= 1

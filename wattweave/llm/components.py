@@ -7,9 +7,7 @@ executor costs a re-run of one round at most.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattweave.session import durable
@@ -18,18 +16,22 @@ from wattweave.session import durable
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node of ``links`` (a, b): the smallest id reachable.
 
-    Distributed union-find by contraction: every node is hung below the smallest node of
-    its neighbourhood, links are renamed by these parents, and what is left is contracted
-    again. The rounds are undone in the opposite order. A round at least halves the nodes
-    that still have links. A hot node costs no more than its number of links, since only
-    minima are taken and a skewed join is split at run time.
+    Distributed union-find by contraction. In a round every node is hung below the node of
+    its neighbourhood (itself included) that comes first in a random order, and links are
+    renamed by these parents. Parents that hang below others stay linked to them, so nothing
+    is lost; the order is drawn anew each round, so the nodes that still have links go down
+    by a constant share of them, whatever the graph (paths in order of their ids, too). The
+    rounds are then undone in the opposite order. A hot node costs no more than its number
+    of links: only minima are taken, and skewed joins are split at run time.
     """
-    spark = links.sparkSession
     links = durable(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     parents: list[DataFrame] = []
     while not links.isEmpty():
+        order = lambda column: F.xxhash64(column, F.lit(len(parents)))
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = durable(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("parent")))
+        near = both.groupBy(F.col("a").alias("id")).agg(F.min_by("b", order("b")).alias("near"), F.min(order("b")).alias("first"))
+        parent = near.select("id", F.when(F.col("first") < order("id"), F.col("near")).otherwise(F.col("id")).alias("parent"))
+        parent = durable(parent)
         parents.append(parent)
         links = durable(
             links.join(parent.select(F.col("id").alias("a"), F.col("parent").alias("pa")), "a")
@@ -39,104 +41,106 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
     if not parents:
-        kind = links.schema["a"].dataType.simpleString()
-        return spark.createDataFrame([], f"id {kind}, component {kind}")
-    # A parent may itself hang below another one; the last table is flat at its roots.
-    labels = parents[-1].select("id", F.col("parent").alias("component"))
-    labels = _flatten(labels)
-    for parent in reversed(parents[:-1]):
-        above = labels.select(F.col("id").alias("parent"), F.col("component").alias("top"))
-        labels = durable(
-            _flatten(parent.select("id", F.col("parent").alias("component")))
-            .withColumnRenamed("component", "parent")
-            .join(above, "parent", "left")
-            .select("id", F.coalesce("top", "parent").alias("component"))
-        )
-    return labels
+        return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    roots = parents[0].withColumnRenamed("parent", "root")
+    for parent in parents[1:]:
+        above = parent.select(F.col("id").alias("root"), F.col("parent").alias("above"))
+        roots = roots.join(above, "root", "left").select("id", F.coalesce("above", "root").alias("root"))
+    roots = durable(roots)
+    smallest = roots.groupBy("root").agg(F.min("id").alias("component"))
+    return durable(roots.join(smallest, "root").select("id", "component"))
 
 
-def _flatten(labels: DataFrame) -> DataFrame:
-    """Follow parents up to the roots; each pass doubles the steps taken."""
-    while True:
-        above = labels.select(F.col("id").alias("component"), F.col("component").alias("top"))
-        joined = labels.join(above, "component", "left").select(
-            "id", F.coalesce("top", "component").alias("component"), (F.coalesce("top", "component") != F.col("component")).alias("moved")
-        )
-        joined = durable(joined)
-        labels = joined.select("id", "component")
-        if joined.where("moved").isEmpty():
-            return labels
-
-
-def linked_components(
-    rows: DataFrame,
-    check: Callable[[DataFrame], DataFrame],
-    sizes_allow: Callable[[str, str], object],
-    rounds: int = 3,
-) -> DataFrame:
-    """(id, component) under all links between ids that share a bucket.
-
-    ``rows`` (key, id, size) are the members of buckets. ``check`` takes pairs (a, b) and
-    returns those that are links. ``sizes_allow(x, y)`` is an exact condition on two size
-    columns that every link fulfils.
-
-    Not all pairs of a bucket are looked at: a pair within one component can change
-    nothing. In each of ``rounds`` rounds a member of every bucket that still holds
-    several components is checked against the members of the others. Most buckets are
-    one component after that, hot ones included. Then all pairs across the components
-    left in a bucket are checked, so that no link between components is lost; ``rounds``
-    changes the cost only.
+#: Candidate groups of up to so many members have all their pairs checked; larger ones are joined by element.
+SMALL_GROUP = 12
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets have a Jaccard similarity of ``percent`` or more, exactly."""
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
+    union = F.size("left") + F.size("right") - F.col("common")
+    return both.where(100 * F.col("common") >= percent * union).select("a", "b")
+
+
+def linked_components(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, component) under all links inside the candidate groups of ``rows``.
+
+    ``rows`` (key, id) are the members of buckets; ids that share buckets, directly or over
+    others, are a candidate group. ``sets`` (id, items) has the distinct items of each id. Two
+    ids are linked if their sets have a Jaccard similarity of ``percent`` or more.
+
+    First every member of a bucket is checked against one of them, which makes most groups
+    one component. A pair inside a component can change nothing, so from groups of several
+    components only pairs across them are looked for: all of them in small groups, those
+    that ``_pairs_by_item`` finds in large ones. That loses no link and emits no pairs that
+    could not be one for their counts.
+    """
+    heads = rows.groupBy("key").agg(F.min_by("id", F.xxhash64("id")).alias("head"))
+    stars = rows.join(heads, "key").where("id <> head")
+    stars = durable(stars.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
+    found = durable(linked(stars, sets, percent))
+    groups = components(stars).withColumnRenamed("component", "group")
+    members = groups.join(components(found), "id", "left").join(sets.select("id", F.size("items").alias("size")), "id")
+    members = durable(members.withColumn("component", F.coalesce("component", "id")))
+    spread = members.groupBy("group").agg(
+        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    several = durable(spread.where("low <> high").select("group", "members"))
+    small = members.join(several.where(F.col("members") <= SMALL_GROUP), "group")
+    large = members.join(several.where(F.col("members") > SMALL_GROUP), "group")
+    pairs = _across(small, small.select("group", *_other("id", "component", "size")), ["group"], percent)
+    pairs = pairs.unionByName(_pairs_by_item(durable(large), sets, percent)).distinct()
+    pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"))
+    if pairs.isEmpty():
+        return members.select("id", "component")
+    return components(found.unionByName(linked(pairs, sets, percent)))
+
+
+def _other(*names: str) -> list[Column]:
+    return [F.col(name).alias(f"other_{name}") for name in names]
+
+
+def _across(left: DataFrame, right: DataFrame, keys: list[str], percent: int, also: Column | None = None) -> DataFrame:
+    """Pairs (a, b) across components with the same keys and sizes that allow a link."""
+    apart = (F.col("component") != F.col("other_component")) & (
+        100 * F.least("size", "other_size") >= percent * F.greatest("size", "other_size")
+    )
+    both = left.join(right, keys).where(apart if also is None else apart & also)
+    return both.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
+
+
+def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that can be links, found by the items they share.
+
+    Items are ordered, for a group, by how common they are in it: the rare ones first and
+    those of half its members or more, the core, last. A link of x and y shares at least
+    percent / (100 + percent) * (|x| + |y|) items, so its first common item is among the
+    first |x| - ceil(percent * |x| / 100) + 1 items of either (the prefix). Items that one
+    member only has take their places in the prefix and find nothing. And two members that
+    share nothing outside the core share at most what either has of it; for x that is
+    enough only with |y| up to (100 + percent) / percent * |x in core| - |x|, its reach. So
+    a common item of the core counts only where each is within the other's reach.
     """
-    rows = durable(rows)
-    edges: DataFrame | None = None
-    tried: DataFrame | None = None
-    labels: DataFrame | None = None
-    for turn in range(rounds + 1):
-        now = rows if labels is None else rows.join(labels, "id", "left")
-        now = now.withColumn("component", F.col("id") if labels is None else F.coalesce("component", "id"))
-        if turn < rounds:
-            mixed = F.xxhash64("id", F.lit(turn))
-            heads = (
-                now.withColumn("turn_key", mixed)
-                .groupBy("key")
-                .agg(
-                    F.min("component").alias("low"),
-                    F.max("component").alias("high"),
-                    F.min("turn_key").alias("head_key"),
-                )
-                .where("low <> high")
-                .select("key", "head_key")
-            )
-            # The head's id comes from its own row: its hash is the key's minimum.
-            open_rows = now.withColumn("turn_key", mixed).join(heads, "key")
-            head = open_rows.where("turn_key = head_key").select(
-                "key", F.col("id").alias("head"), F.col("size").alias("head_size"), F.col("component").alias("head_component")
-            )
-            pairs = open_rows.join(head, "key").where(F.col("component") != F.col("head_component"))
-            pairs = pairs.where(sizes_allow("size", "head_size")).select(
-                F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")
-            )
-        else:
-            several = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            left = now.join(several.select("key"), "key", "left_semi")
-            right = left.select("key", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("other_component"))
-            pairs = left.join(right, "key").where(
-                (F.col("id") < F.col("other")) & (F.col("component") != F.col("other_component"))
-            )
-            pairs = pairs.where(sizes_allow("size", "other_size")).select(F.col("id").alias("a"), F.col("other").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = durable(pairs)
-        if pairs.isEmpty():
-            if turn < rounds:
-                continue
-            break
-        found = durable(check(pairs))
-        if turn < rounds:
-            tried = pairs if tried is None else tried.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-    if labels is None:
-        return rows.select("id", F.col("id").alias("component")).limit(0)
-    return labels
+    items = members.join(sets, "id").select("group", "members", "id", "component", "size", F.explode("items").alias("item"))
+    common = items.groupBy("group", "item").agg(F.count("*").alias("holders")).where("holders > 1")
+    shared = items.join(common, ["group", "item"]).withColumn("core", 2 * F.col("holders") >= F.col("members"))
+    per_id = shared.groupBy("group", "id", "component", "size").agg(
+        F.array_sort(F.collect_list(F.struct("core", "holders", "item"))).alias("order"),
+        F.sum(F.col("core").cast("long")).alias("in_core"),
+    )
+    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    places = (prefix - (F.col("size") - F.size("order"))).cast("int")
+    per_id = per_id.withColumn("reach", (100 + percent) * F.col("in_core") - percent * F.col("size"))
+    per_id = per_id.where(places > 0).select(
+        "group", "id", "component", "size", "reach", F.explode(F.slice("order", F.lit(1), places)).alias("at")
+    )
+    placed = durable(per_id.select("group", "id", "component", "size", "reach", "at.core", "at.item"))
+    # Of two components at least one isn't the largest of the group, so one side can leave that out.
+    sizes = placed.select("group", "id", "component").distinct().groupBy("group", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    left = placed.join(largest, "group").where("component <> largest")
+    right = placed.select("group", "item", *_other("id", "component", "size", "reach"))
+    within = (percent * F.col("other_size") <= F.col("reach")) & (percent * F.col("size") <= F.col("other_reach"))
+    return _across(left, right, ["group", "item"], percent, ~F.col("core") | within)

@@ -5,8 +5,9 @@ cell and the like) becomes a line with its characters and the tags since the lin
 A line's ratio is characters per tag, and 0 for page furniture. The ratios are smoothed
 with a Gaussian and split into two clusters by the threshold of least variance inside
 them. The lines of the upper cluster point out the content region: the article (or main)
-element that holds most of their characters, else the innermost element that does. All
-lines of that region but furniture are the text, short ones included.
+element that holds most of their characters, else the innermost container of several lines
+that does, else the page. All lines of that region but furniture are the text, short ones
+included.
 
 Furniture is told by element, by role, by hidden marks and by words in class and id.
 
@@ -47,6 +48,7 @@ MARKS = frozenset(
 )
 NEGATIONS = frozenset("has no with without".split())
 REGIONS = frozenset("article main".split())
+CONTAINERS = frozenset("center div section td".split())
 #: Elements that a later start tag of the same group ends.
 ENDED_BY = {
     "p": BLOCK,
@@ -189,9 +191,9 @@ def main_text(html: str | None) -> str:
     need = MOST * sum(len(lines[k][0]) for k in seeds)
     holders = [number for number, size in within.items() if size >= need]
     regions = [number for number in holders if parser.names[number] in REGIONS]
-    # of nested regions the innermost, else the innermost element that holds several lines
-    several = [n for n in holders if sum(n in lines[k][2] for k in usable) > 1]
-    region = max(regions or several or holders, default=None)
+    # of nested regions the innermost, else the innermost container of several lines, else the page
+    several = [n for n in holders if parser.names[n] in CONTAINERS and sum(n in lines[k][2] for k in usable) > 1]
+    region = max(regions or several, default=None)
     return "\n\n".join(lines[k][0] for k in usable if region is None or region in lines[k][2])
 
 

@@ -220,20 +220,25 @@ def train(
     return network
 
 
-def identify(
-    docs: DataFrame,
-    network: ByteNetwork | None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Per document: the id, lang_pred and score."""
+SCHEMA = "lang_pred string, score double"
+
+
+def predictor(network: ByteNetwork | None):
+    """Function from batches of texts to lang_pred and score."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(UNKNOWN, 0.0)] * len(batch) if network is None else list(network.predict(list(batch)))
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    return per_text(docs, id_col, text_col, run, "lang_pred string, score double")
+    return run
+
+
+def identify(
+    docs: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document: the id, lang_pred and score."""
+    return per_text(docs, id_col, text_col, predictor(network), SCHEMA)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

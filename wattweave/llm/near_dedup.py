@@ -117,14 +117,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(id, shingles) from (id, text)."""
+    """(id, items) from (id, text): the distinct shingle hashes."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for batch in batches:
-            yield pd.DataFrame({"shingles": [shingler(t).view(np.int64) for t in batch]})
+            yield pd.DataFrame({"items": [shingler(t).view(np.int64) for t in batch]})
 
-    return per_text(docs, "id", "text", run, "shingles array<long>")
+    return per_text(docs, "id", "text", run, "items array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,26 +135,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owners = durable(full.join(first, "digest").select("id", "digest", "rep").distinct())
     reps = full.join(owners.where("id = rep"), ["id", "digest"], "left_semi")
 
-    rows = reps.select("id", "size", F.explode("bands").alias("key"))
+    rows = reps.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     rows = durable(rows.join(shared.select("key"), "key", "left_semi"))
 
     wanted = rows.select("id").distinct()
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, "id", "left_semi")
-    full_sets = durable(shingle_sets(texts))
-
-    def check(pairs: DataFrame) -> DataFrame:
-        left = full_sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        right = full_sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = pairs.join(left, "a").join(right, "b")
-        both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        union = F.size("sa") + F.size("sb") - F.col("common")
-        return both.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
-
-    def sizes_allow(x: str, y: str):
-        return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
-
-    labels = linked_components(rows, check, sizes_allow)
+    sets = durable(shingle_sets(texts.dropDuplicates(["id"])))
+    labels = linked_components(rows, sets, PERCENT)
     found = (
         known.select("id", "size", "digest")
         .join(owners, ["id", "digest"], "left")
