@@ -7,6 +7,8 @@ executor costs a re-run of one round at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,21 +57,28 @@ def components(links: DataFrame) -> DataFrame:
 SMALL_GROUP = 12
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+Expand = Callable[[Column], Column]
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int, expand: Expand) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of ``percent`` or more, exactly."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
-    union = F.size("left") + F.size("right") - F.col("common")
-    return both.where(100 * F.col("common") >= percent * union).select("a", "b")
+    left = sets.select(F.col("id").alias("a"), F.col("packed").alias("left"), F.col("size").alias("left_size"))
+    right = sets.select(F.col("id").alias("b"), F.col("packed").alias("right"), F.col("size").alias("right_size"))
+    both = pairs.join(left, "a").join(right, "b")
+    both = both.where(100 * F.least("left_size", "right_size") >= percent * F.greatest("left_size", "right_size"))
+    common = F.size(F.array_intersect(expand(F.col("left")), expand(F.col("right"))))
+    both = both.select("a", "b", "left_size", "right_size", common.alias("common"))
+    return both.where(100 * F.col("common") >= percent * (F.col("left_size") + F.col("right_size") - F.col("common"))).select("a", "b")
 
 
-def linked_components(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked_components(rows: DataFrame, sets: DataFrame, percent: int, expand: Expand = lambda packed: packed) -> DataFrame:
     """(id, component) under all links inside the candidate groups of ``rows``.
 
     ``rows`` (key, id) are the members of buckets; ids that share buckets, directly or over
-    others, are a candidate group. ``sets`` (id, items) has the distinct items of each id. Two
-    ids are linked if their sets have a Jaccard similarity of ``percent`` or more.
+    others, are a candidate group. ``sets`` (id, packed, size) has the set of each id and its
+    size; ``expand`` makes the array of distinct items of what is packed, so that something
+    shorter can be shuffled. Two ids are linked if their sets have a Jaccard similarity of
+    ``percent`` or more.
 
     First every member of a bucket is checked against one of them, which makes most groups
     one component. A pair inside a component can change nothing, so from groups of several
@@ -80,9 +89,9 @@ def linked_components(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     heads = rows.groupBy("key").agg(F.min_by("id", F.xxhash64("id")).alias("head"))
     stars = rows.join(heads, "key").where("id <> head")
     stars = durable(stars.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
-    found = durable(linked(stars, sets, percent))
+    found = durable(linked(stars, sets, percent, expand))
     groups = components(stars).withColumnRenamed("component", "group")
-    members = groups.join(components(found), "id", "left").join(sets.select("id", F.size("items").alias("size")), "id")
+    members = groups.join(components(found), "id", "left").join(sets.select("id", "size"), "id")
     members = durable(members.withColumn("component", F.coalesce("component", "id")))
     spread = members.groupBy("group").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -91,11 +100,12 @@ def linked_components(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     small = members.join(several.where(F.col("members") <= SMALL_GROUP), "group")
     large = members.join(several.where(F.col("members") > SMALL_GROUP), "group")
     pairs = _across(small, small.select("group", *_other("id", "component", "size")), ["group"], percent)
-    pairs = pairs.unionByName(_pairs_by_item(durable(large), sets, percent)).distinct()
+    by_item = _pairs_by_item(durable(large), sets.select("id", "packed"), percent, expand)
+    pairs = pairs.unionByName(by_item).distinct()
     pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"))
     if pairs.isEmpty():
         return members.select("id", "component")
-    return components(found.unionByName(linked(pairs, sets, percent)))
+    return components(found.unionByName(linked(pairs, sets, percent, expand)))
 
 
 def _other(*names: str) -> list[Column]:
@@ -111,7 +121,7 @@ def _across(left: DataFrame, right: DataFrame, keys: list[str], percent: int, al
     return both.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
 
 
-def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int, expand: Expand) -> DataFrame:
     """Pairs across components that can be links, found by the items they share.
 
     Items are ordered, for a group, by how common they are in it: the rare ones first and
@@ -123,7 +133,8 @@ def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     enough only with |y| up to (100 + percent) / percent * |x in core| - |x|, its reach. So
     a common item of the core counts only where each is within the other's reach.
     """
-    items = members.join(sets, "id").select("group", "members", "id", "component", "size", F.explode("items").alias("item"))
+    items = members.join(sets, "id")
+    items = items.select("group", "members", "id", "component", "size", F.explode(expand(F.col("packed"))).alias("item"))
     common = items.groupBy("group", "item").agg(F.count("*").alias("holders")).where("holders > 1")
     shared = items.join(common, ["group", "item"]).withColumn("core", 2 * F.col("holders") >= F.col("members"))
     per_id = shared.groupBy("group", "id", "component", "size").agg(

@@ -117,14 +117,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(id, items) from (id, text): the distinct shingle hashes."""
+    """(id, packed, size) from (id, text): the distinct shingle hashes."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for batch in batches:
-            yield pd.DataFrame({"items": [shingler(t).view(np.int64) for t in batch]})
+            sets = [shingler(t).view(np.int64) for t in batch]
+            yield pd.DataFrame({"packed": sets, "size": [len(found) for found in sets]})
 
-    return per_text(docs, "id", "text", run, "items array<long>")
+    return per_text(docs, "id", "text", run, "packed array<long>, size long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
