@@ -90,17 +90,12 @@ def linked_components(rows: DataFrame, sets: DataFrame, percent: int, expand: Ex
     stars = rows.join(heads, "key").where("id <> head")
     stars = durable(stars.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
     found = durable(linked(stars, sets, percent, expand))
-    groups = components(stars).withColumnRenamed("component", "group")
-    members = groups.join(components(found), "id", "left").join(sets.select("id", "size"), "id")
-    members = durable(members.withColumn("component", F.coalesce("component", "id")))
-    spread = members.groupBy("group").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    several = durable(spread.where("low <> high").select("group", "members"))
-    small = members.join(several.where(F.col("members") <= SMALL_GROUP), "group")
-    large = members.join(several.where(F.col("members") > SMALL_GROUP), "group")
+    groups = components(stars).withColumnRenamed("component", "group").join(sets.select("id", "size"), "id")
+    members, large = _members(groups, found)
+    several = members.where("several")
+    small = several.where(F.col("members") <= SMALL_GROUP)
     pairs = _across(small, small.select("group", *_other("id", "component", "size")), ["group"], percent)
-    by_item = _pairs_by_item(durable(large), sets.select("id", "packed"), percent, expand)
+    by_item = _pairs_by_item(large, sets.select("id", "packed"), percent, expand)
     pairs = pairs.unionByName(by_item).distinct()
     pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"))
     if pairs.isEmpty():
@@ -108,6 +103,16 @@ def linked_components(rows: DataFrame, sets: DataFrame, percent: int, expand: Ex
     return components(found.unionByName(linked(pairs, sets, percent, expand)))
 
 
+def _members(groups: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, id, size, component, members, several) of all ids, and the ids of large groups of several components."""
+    own = durable(groups.join(components(found), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    spread = own.groupBy("group").agg(
+        F.count("*").alias("members"), (F.min("component") < F.max("component")).alias("several")
+    )
+    members = durable(own.join(spread, "group"))
+    return members, members.where(F.col("several") & (F.col("members") > SMALL_GROUP))
+
+
 def _other(*names: str) -> list[Column]:
     return [F.col(name).alias(f"other_{name}") for name in names]
 
@@ -122,36 +127,63 @@ def _across(left: DataFrame, right: DataFrame, keys: list[str], percent: int, al
 
 
 def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int, expand: Expand) -> DataFrame:
-    """Pairs across components that can be links, found by the items they share.
-
-    Items are ordered, for a group, by how common they are in it: the rare ones first and
-    those of half its members or more, the core, last. A link of x and y shares at least
-    percent / (100 + percent) * (|x| + |y|) items, so its first common item is among the
-    first |x| - ceil(percent * |x| / 100) + 1 items of either (the prefix). Items that one
-    member only has take their places in the prefix and find nothing. And two members that
-    share nothing outside the core share at most what either has of it; for x that is
-    enough only with |y| up to (100 + percent) / percent * |x in core| - |x|, its reach. So
-    a common item of the core counts only where each is within the other's reach.
+    """Pairs across components of a group that can be links, found by what sets them apart.
+
+    The core of a group are the items of half its members or more. A member x is described
+    by its marks: its items outside the core, and the core's items that it lacks. Two sets
+    differ in as many items as their marks do. So with T marks each, x and y are linked if
+    and only if T(x) + T(y) - 2 * (marks in common) is at most (|x| + |y|) * (100 - percent) /
+    (100 + percent); or, with the weight w = (100 + percent) * T - (100 - percent) * size,
+    if they have (w(x) + w(y)) / (2 * (100 + percent)) marks in common at least.
+
+    If that is no mark at all, they are linked for their weights alone. Then either is linked
+    to the member of least weight, too, so one pair with that member stands for all of these.
+    Otherwise they meet at a mark. Marks are ordered, rare ones first, and behind the first
+    one in common there must be room for the others, in both orders; marks at a place that
+    leaves no room are left out, and so are marks that one member only has.
+
+    All of this is exact, and near copies of one text have few common marks, whatever their
+    number.
     """
-    items = members.join(sets, "id")
-    items = items.select("group", "members", "id", "component", "size", F.explode(expand(F.col("packed"))).alias("item"))
-    common = items.groupBy("group", "item").agg(F.count("*").alias("holders")).where("holders > 1")
-    shared = items.join(common, ["group", "item"]).withColumn("core", 2 * F.col("holders") >= F.col("members"))
-    per_id = shared.groupBy("group", "id", "component", "size").agg(
-        F.array_sort(F.collect_list(F.struct("core", "holders", "item"))).alias("order"),
-        F.sum(F.col("core").cast("long")).alias("in_core"),
+    whole = 100 + percent
+    items = members.join(sets, "id").withColumn("items", expand(F.col("packed"))).drop("packed", "several")
+    each = items.select("group", "id", F.explode("items").alias("item"))
+    holders = each.groupBy("group", "item").agg(F.count("*").alias("holders")).where("holders > 1")
+    sizes = members.select("group", "members").distinct()
+    known = durable(holders.join(sizes, "group").withColumn("core", 2 * F.col("holders") >= F.col("members")))
+    core = known.where("core").groupBy("group").agg(F.collect_list("item").alias("core_items"))
+    own = items.join(core, "group", "left").withColumn("core_items", F.coalesce("core_items", F.array().cast("array<bigint>")))
+    lacked = F.array_except("core_items", "items")
+    marks = F.col("size") - (F.size("core_items") - F.size(lacked)) + F.size(lacked)
+    weighed = own.withColumns({"lacked": lacked, "marks": marks}).withColumn(
+        "weight", (whole * F.col("marks") - (100 - percent) * F.col("size")).cast("long")
     )
-    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    places = (prefix - (F.col("size") - F.size("order"))).cast("int")
-    per_id = per_id.withColumn("reach", (100 + percent) * F.col("in_core") - percent * F.col("size"))
-    per_id = per_id.where(places > 0).select(
-        "group", "id", "component", "size", "reach", F.explode(F.slice("order", F.lit(1), places)).alias("at")
+    weighed = durable(weighed.select("group", "id", "component", "size", "marks", "weight", "lacked"))
+
+    least = weighed.groupBy("group").agg(F.min_by("id", "weight").alias("id")).select("id")
+    least = weighed.join(least, "id", "left_semi").select("group", "weight", *_other("id", "component", "size"))
+    least = least.withColumnRenamed("weight", "least_weight")
+    light = _across(weighed, least, ["group"], percent, F.col("weight") + F.col("least_weight") <= 0)
+
+    outside = each.join(known.where("not core"), ["group", "item"])
+    outside = outside.select("group", "id", F.struct(F.col("holders").alias("rarity"), F.lit(False).alias("lacks"), "item").alias("mark"))
+    lacks = weighed.select("group", "id", F.explode("lacked").alias("item")).join(known.where("core"), ["group", "item"])
+    rarity = (F.col("members") - F.col("holders")).alias("rarity")
+    lacks = lacks.select("group", "id", F.struct(rarity, F.lit(True).alias("lacks"), "item").alias("mark"))
+    order = outside.unionByName(lacks).groupBy("group", "id").agg(F.array_sort(F.collect_list("mark")).alias("order"))
+    placed = weighed.drop("lacked", "group").join(order, "id").join(least.select("group", "least_weight"), "group")
+    common = F.greatest(F.lit(1), F.ceil((F.col("weight") + F.col("least_weight")) / (2 * whole)))
+    alone = F.col("marks") - F.size("order")  # marks of this member only: they come first
+    room = (F.col("marks") - common + 1 - alone).cast("int")
+    placed = placed.withColumn("alone", alone).where(room > 0).select(
+        "group", "id", "component", "size", "marks", "weight", "alone", F.posexplode(F.slice("order", F.lit(1), room)).alias("at", "mark")
     )
-    placed = durable(per_id.select("group", "id", "component", "size", "reach", "at.core", "at.item"))
+    behind = (F.col("marks") - F.col("alone") - F.col("at")).cast("long").alias("room")
+    placed = durable(placed.select("group", "id", "component", "size", "weight", behind, "mark.lacks", "mark.item"))
     # Of two components at least one isn't the largest of the group, so one side can leave that out.
-    sizes = placed.select("group", "id", "component").distinct().groupBy("group", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    counts = weighed.groupBy("group", "component").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
     left = placed.join(largest, "group").where("component <> largest")
-    right = placed.select("group", "item", *_other("id", "component", "size", "reach"))
-    within = (percent * F.col("other_size") <= F.col("reach")) & (percent * F.col("size") <= F.col("other_reach"))
-    return _across(left, right, ["group", "item"], percent, ~F.col("core") | within)
+    right = placed.select("group", "lacks", "item", *_other("id", "component", "size", "weight", "room"))
+    enough = 2 * whole * F.least("room", "other_room") >= F.col("weight") + F.col("other_weight")
+    return _across(left, right, ["group", "lacks", "item"], percent, enough).unionByName(light)
