@@ -19,20 +19,21 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node of ``links`` (a, b): the smallest id reachable.
 
     Distributed union-find by contraction. In a round every node is hung below the node of
-    its neighbourhood (itself included) that comes first in a random order, and links are
+    its neighbourhood (itself included) that comes first in the order of a hash, and links are
     renamed by these parents. Parents that hang below others stay linked to them, so nothing
-    is lost; the order is drawn anew each round, so the nodes that still have links go down
-    by a constant share of them, whatever the graph (paths in order of their ids, too). The
-    rounds are then undone in the opposite order. A hot node costs no more than its number
-    of links: only minima are taken, and skewed joins are split at run time.
+    is lost. Nodes around one that comes first go in one round, and ways that descend in a
+    random order are short, so few rounds do; they are then undone in the opposite order. A
+    hot node costs no more than its number of links: only minima are taken, and skewed joins
+    are split at run time.
     """
     links = durable(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     parents: list[DataFrame] = []
     while not links.isEmpty():
-        order = lambda column: F.xxhash64(column, F.lit(len(parents)))
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = both.groupBy(F.col("a").alias("id")).agg(F.min_by("b", order("b")).alias("near"), F.min(order("b")).alias("first"))
-        parent = near.select("id", F.when(F.col("first") < order("id"), F.col("near")).otherwise(F.col("id")).alias("parent"))
+        near = both.groupBy(F.col("a").alias("id")).agg(
+            F.min_by("b", F.xxhash64("b")).alias("near"), F.min(F.xxhash64("b")).alias("first")
+        )
+        parent = near.select("id", F.when(F.col("first") < F.xxhash64("id"), F.col("near")).otherwise(F.col("id")).alias("parent"))
         parent = durable(parent)
         parents.append(parent)
         links = durable(
