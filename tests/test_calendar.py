@@ -67,13 +67,16 @@ def test_holidays():
     assert cal.easter_sunday(2024) == datetime.date(2024, 3, 31)
     published = "2000-04-23 2008-03-23 2011-04-24 2021-04-04 2022-04-17 2023-04-09 2025-04-20 2038-04-25 2049-04-18 2076-04-19"
     assert [str(cal.easter_sunday(int(d[:4]))) for d in published.split()] == published.split()
-    dates = cal.holidays()
+    dates = cal.holidays(range(2021, 2026))
     assert datetime.date(2023, 4, 7) in dates and datetime.date(2023, 5, 28) in dates
     assert len([d for d in dates if d.year == 2023]) == 12
 
 
-def test_holiday_table_equals_list(spark, rows):
-    days = spark.sql("SELECT explode(sequence(DATE'2023-01-01', DATE'2023-12-31')) AS date")
-    table = spark.createDataFrame([(d,) for d in cal.holidays()], "date date")
+def test_holiday_table_list_and_rule_are_equal_in_any_year(spark, rows):
+    days = spark.sql("SELECT explode(sequence(DATE'1970-01-01', DATE'2059-12-31')) AS date")
+    known = cal.holidays(range(1970, 2060))
+    table = spark.createDataFrame([(d,) for d in known], "date date")
+    by_list = days.withColumn("is_holiday", cal.is_holiday(F.col("date"), known))
     listed = days.withColumn("is_holiday", cal.is_holiday(F.col("date")))
-    assert rows(cal.mark_holidays(days, "date", table), "date") == rows(listed, "date")
+    assert rows(cal.mark_holidays(days, "date", table), "date") == rows(listed, "date") == rows(by_list, "date")
+    assert (datetime.date(2026, 1, 1), True) in rows(listed, "date")

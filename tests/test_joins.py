@@ -36,16 +36,16 @@ def test_dense_ids(spark, rows):
     assert ids == [0, 0, 1, 3] or ids == [0, 0, 1, 2]  # the null key takes the place its order gives it
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_row_numbers_and_totals_over_ranges(spark, small_rows):
+@pytest.mark.parametrize("ranges", [1, 16, None])
+def test_row_numbers_and_totals_over_ranges(spark, ranges):
     df = spark.range(5000).select(
         F.pmod(F.xxhash64("id"), F.lit(7)).alias("a"), (5000 - F.col("id")).alias("b"), (F.col("id") % 3).alias("v")
     )
     expected = sorted((r.a, r.b, r.v) for r in df.collect())
-    numbered = ordering.number_rows(df, ["a", "b"], "n", small_rows=small_rows, ranges=16).orderBy("n").collect()
+    numbered = ordering.number_rows(df, ["a", "b"], "n", ranges=ranges).orderBy("n").collect()
     assert [(r.a, r.b, r.v) for r in numbered] == expected and [r.n for r in numbered] == list(range(5000))
     totals = ordering.running_total(
-        df, ["a", "b"], "v", "total", descending=("a",), small_rows=small_rows, ranges=16
+        df, ["a", "b"], "v", "total", descending=("a",), ranges=ranges
     ).collect()
     total, running = 0, {}
     for a, b, v in sorted(expected, key=lambda r: (-r[0], r[1])):

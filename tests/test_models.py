@@ -85,6 +85,36 @@ def test_segments(table):
     assert all(r.mae < 6 and r.test_rows > 0 for r in scores)
 
 
+def test_more_categories_than_the_default_bins(spark):
+    rows = [(f"name {i % 50}", float(i % 50), i % 4 == 0) for i in range(400)]
+    frame = spark.createDataFrame(rows, "county_name string, target double, is_test boolean")
+    for parameters in (models.Parameters(rounds=2), models.Parameters("poisson")):
+        model = models.fit(frame, parameters)
+        names = [r.feature for r in models.feature_importances(spark, model, frame).collect()]
+        assert names == ["county_name"] and models.test_error(model, frame) < 12
+
+
+def test_segments_with_too_few_rows_are_left_out(table):
+    some = table.filter("is_consumption = 1").unionByName(table.filter("is_consumption = 0").limit(1))
+    fitted = models.train_segments(some, {"producer": SMALL, "consumer": SMALL}, by_business=False)
+    assert set(fitted) == {("consumer", None)}
+
+
+def test_columns_per_model_type(table):
+    columns = {"consumer": ["target", "strong"]}
+    fitted = models.train_segments(table, {"producer": SMALL, "consumer": SMALL}, by_business=False, columns=columns)
+    inputs = {key[0]: model.stages[-2].getInputCols() for key, model in fitted.items()}
+    assert inputs["consumer"] == ["strong"] and len(inputs["producer"]) > 1
+
+
+def test_saved_segments_score_a_table(table, tmp_path):
+    fitted = models.train_segments(table, {"producer": SMALL, "consumer": SMALL})
+    models.save_segments(fitted, str(tmp_path), datetime.date(2024, 1, 31))
+    scored = models.score_segments(table, str(tmp_path), datetime.date(2024, 1, 31))
+    assert scored.count() == table.count() and scored.filter("prediction IS NULL").isEmpty()
+    assert models.score_segments(table, str(tmp_path / "none"), datetime.date(2024, 1, 31)).count() == 0
+
+
 def test_folds(table):
     scores = models.fold_scores(table, SMALL, train_months=6, test_months=3, max_folds=1).collect()
     assert [r.fold_id for r in scores] == [202201] and scores[0].mae > 0

@@ -24,11 +24,6 @@ def test_matches_sql(spark, con, name):
     assert oracle.compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", ["noise_column", "learning_curve"])
-def test_rows_only(spark, name):
-    assert QUERIES[name](spark, FOLDER).count() > 0
-
-
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
 

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 import fixture
 from wattweave import schemas
 from wattweave.plans.training_table import (
-    JoinFacts,
     add_weather_history,
     join_facts,
     join_sources,
     read_sources,
     scoring_table,
     store_sources,
+    store_training_table,
     training_table,
 )
 from wattweave.sources import tables
@@ -123,12 +123,34 @@ def test_several_blocks_per_hour_fan_out(sources):
     with_weather = join_sources(sources, facts).filter("temperature_last_7_days IS NOT NULL").count()
     without = join_sources(sources, facts).filter("temperature_last_7_days IS NULL").count()
     assert join_sources(doubled, join_facts(doubled)).count() == 4 * with_weather + without
-    one = training_table(doubled, noise=False, lag_days=2).cache()
+    with pytest.raises(ValueError, match="repeated keys"):
+        training_table(doubled, noise=False, lag_days=2, lags="before")
+    noisy = training_table(doubled, lag_days=1, lags="after")
+    assert noisy.select("noise").distinct().count() == noisy.count()  # each copy that a join makes of a row has its own
+    one = training_table(doubled, noise=False, lag_days=2, lags="after").cache()
     many = training_table(doubled, noise=False, lag_days=2, lags="join").cache()
     assert one.count() == many.count() > training_table(sources, noise=False, lag_days=2).count()
     assert one.distinct().exceptAll(many.distinct()).count() == 0
 
 
+def test_a_constant_block_is_an_error(sources):
+    from dataclasses import replace
+
+    constant = replace(sources, gas=sources.gas.withColumn("data_block_id", F.lit(0).cast("smallint")))
+    with pytest.raises(ValueError, match="gas has"):
+        training_table(constant)
+
+
+def test_stored_training_table_prunes_months(spark, table, tmp_path):
+    stored = store_training_table(table, str(tmp_path), datetime.date(2024, 1, 31))
+    assert stored.dtypes == table.dtypes and stored.count() == table.count()
+    plan = stored.filter("year = 2022 AND month = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    with pytest.raises(ValueError, match="nothing but nulls"):
+        empty = table.withColumn("noise", F.lit(None).cast("double"))
+        store_training_table(empty, str(tmp_path / "nulls"), datetime.date(2024, 1, 31))
+
+
 def test_scoring_interval(sources):
     start, end = datetime.datetime(2023, 1, 3), datetime.datetime(2023, 1, 12)
     scored = scoring_table(sources, start, end)
@@ -142,14 +164,15 @@ def test_scoring_interval(sources):
 def test_large_tables_are_not_broadcast(sources):
     """Beyond the size limit the same joins are shuffled, with the same result."""
     facts = join_facts(sources)
-    large = JoinFacts({name: 10**9 for name in facts.rows}, facts.repeats)
-    assert all(facts.fits(name, sources.clients) and not large.fits(name, sources.clients) for name in facts.rows)
-    one, other = (join_sources(sources, f, 7) for f in (facts, large))
+    assert facts.broadcast(2**28) == set(facts.rows) and facts.broadcast(0) == set()
+    smallest = min(facts.rows, key=facts.rows.get)
+    assert smallest in facts.broadcast(max(facts.rows.values()) * 640)  # the sum counts, not each table
+    one, other = (join_sources(sources, facts, 7, limit) for limit in (2**28, 0))
     assert one.exceptAll(other).count() == 0 and one.count() == other.count()
 
 
 def test_stored_sources(from_csv, sources, stored_at):
-    assert (stored_at / "metering" / "year=2024" / "month=1" / "day=31").is_dir()
+    assert (stored_at / "metering" / "run_date=2024-01-31").is_dir()
     for name, df in vars(sources).items():
         assert df.dtypes == getattr(from_csv, name).dtypes and df.count() == getattr(from_csv, name).count()
 

@@ -28,7 +28,6 @@ FIXED_HOLIDAYS = [
     (12, 26),  # Second Day of Christmas
 ]
 EASTER_OFFSETS = [-2, 0, 49]  # Good Friday, Easter Sunday, Pentecost
-HOLIDAY_YEARS = range(2021, 2026)
 
 
 def days(n: int) -> Column:
@@ -113,17 +112,28 @@ def half_cycle_day_of_year(day_of_year: Column, ts: Column) -> tuple[Column, Col
     return cyclic(day_of_year, days_in_year(ts), turn=math.pi)
 
 
+def _easter_moon(year, whole):
+    """Month * 31 + day - 1 of Easter Sunday, of a number or a column; ``whole(a, n)`` is a // n."""
+    golden, century = year % 19, whole(year, 100)
+    shift = century - whole(century, 4) - whole(century - whole(century + 8, 25) + 1, 3)
+    moon = (golden * 19 + shift + 15) % 30
+    weekday = ((century % 4) * 2 + whole(year % 100, 4) * 2 + 32 - moon - year % 4) % 7
+    return moon + weekday - whole(golden + moon * 11 + weekday * 22, 451) * 7 + 114
+
+
 def easter_sunday(year: int) -> datetime.date:
-    """Gregorian Easter by Gauss' rule (valid 1900-2099)."""
-    d = (19 * (year % 19) + 24) % 30
-    e = (2 * (year % 4) + 4 * (year % 7) + 6 * d + 5) % 7
-    offset = d + e
-    if (d, e) == (29, 6) or (d == 28 and e == 6 and year % 19 > 10):
-        offset -= 7
-    return datetime.date(year, 3, 22) + datetime.timedelta(days=offset)
+    """Gregorian Easter of any year."""
+    moon = _easter_moon(year, lambda a, n: a // n)
+    return datetime.date(year, moon // 31, moon % 31 + 1)
+
+
+def easter_of(date: Column) -> Column:
+    """Gregorian Easter of the year of a date."""
+    moon = _easter_moon(F.year(date), lambda a, n: F.floor(a / n))
+    return F.make_date(F.year(date), F.floor(moon / 31).cast("int"), (moon % 31 + 1).cast("int"))
 
 
-def holidays(years=HOLIDAY_YEARS) -> list[datetime.date]:
+def holidays(years) -> list[datetime.date]:
     """Public holidays of the given years; a dozen per year."""
     dates = set()
     for year in years:
@@ -134,8 +144,11 @@ def holidays(years=HOLIDAY_YEARS) -> list[datetime.date]:
 
 
 def is_holiday(date: Column, dates: list[datetime.date] | None = None) -> Column:
-    """Membership of a date in the list of holidays."""
-    return date.isin(holidays() if dates is None else list(dates))
+    """Whether a date is in the list of holidays, or follows the rule for any year if there is none."""
+    if dates is not None:
+        return date.isin(list(dates))
+    fixed = (F.month(date) * 100 + F.day(date)).isin([month * 100 + day for month, day in FIXED_HOLIDAYS])
+    return fixed | F.datediff(date, easter_of(date)).isin(EASTER_OFFSETS)
 
 
 def mark_holidays(df: DataFrame, date: str, table: DataFrame, out: str = "is_holiday") -> DataFrame:

@@ -118,6 +118,15 @@ def columns_except(df: DataFrame, excluded) -> list[str]:
 
 
 # --- values -----------------------------------------------------------------------
+def whole_number(value: Column, kind: str) -> Column:
+    """Text such as "10" or "10.0" as an integer; a fraction is an error, not cut off."""
+    number = value.cast("double")
+    message = F.concat(F.lit("not a whole number: "), value.cast("string"))
+    return F.when(number.isNull() | (number == F.floor(number)), number.cast(kind)).otherwise(
+        F.raise_error(message).cast(kind)
+    )
+
+
 def midpoint(low: Column, high: Column) -> Column:
     return (low + high) / 2
 
@@ -125,7 +134,8 @@ def midpoint(low: Column, high: Column) -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient with IEEE results for a zero denominator (inf, -inf, NaN) instead of an error."""
     top, bottom = numerator.cast("double"), denominator.cast("double")
-    by_zero = F.when(top > 0, F.lit(math.inf)).when(top < 0, F.lit(-math.inf)).otherwise(F.lit(math.nan))
+    by_zero = F.when(F.isnan(top), F.lit(math.nan)).when(top > 0, F.lit(math.inf)).when(top < 0, F.lit(-math.inf))
+    by_zero = by_zero.otherwise(F.lit(math.nan))
     return F.when(top.isNull(), None).when(bottom == 0, by_zero).otherwise(top / bottom)
 
 

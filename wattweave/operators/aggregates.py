@@ -175,10 +175,10 @@ def _p(q: float) -> str:
     return f"p{round(q * 100)}"
 
 
-def cumulative_share(df: DataFrame, name: str, score: str, known_rows: int | None = None) -> DataFrame:
+def cumulative_share(df: DataFrame, name: str, score: str, **options) -> DataFrame:
     """Scores in descending order with percent of the total and cumulative percent.
 
-    Ties are ordered by name. ``known_rows`` states a bound on the table, if there is one.
+    Ties are ordered by name. ``options`` go to ``running_total``.
     """
     total = df.agg(F.sum(quoted(score))).scalar()
     shares = df.withColumn(f"{score}_perc", quoted(score) / total * 100)
@@ -188,7 +188,7 @@ def cumulative_share(df: DataFrame, name: str, score: str, known_rows: int | Non
         f"{score}_perc",
         f"{score}_perc_cumulative",
         descending=(score,),
-        known_rows=known_rows,
+        **options,
     )
 
 

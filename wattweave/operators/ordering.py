@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from wattweave.functions.columns import columns_except, quoted, select_names
 from wattweave.session import durable
 
-# Up to this many rows one window task is the cheaper plan.
-SMALL_TABLE_ROWS = 200_000
-RANGES = 512
 
 
 def running_total(
@@ -20,20 +17,19 @@ def running_total(
     out: str,
     *,
     descending: tuple[str, ...] = (),
-    known_rows: int | None = None,
-    small_rows: int = SMALL_TABLE_ROWS,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Cumulative sum of ``value`` over the total order of ``order`` (unique keys).
 
-    ``known_rows`` states a proven bound on the row count, otherwise the rows are
-    counted. Small tables use one window. Larger ones are split into key ranges:
-    the sum within a range is a window per range, and each range is shifted by the
-    total of the ranges before it (one row per range).
+    Rows are split into key ranges (as many as the session has shuffle partitions,
+    unless given): the sum within a range is a window per range, and each range is
+    shifted by the total of the ranges before it (one row per range). ``ranges=1`` is
+    for tables that are small by nature: one window in one task, and nothing is written.
     """
     ordering = [quoted(c).desc_nulls_last() if c in descending else quoted(c).asc_nulls_first() for c in order]
-    rows = df.count() if known_rows is None else known_rows
-    if rows <= small_rows:
+    if ranges is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if ranges == 1:
         frame = Window.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(quoted(value)).over(frame))
 
@@ -60,11 +56,11 @@ def number_rows(df: DataFrame, order: list[str], out: str, **options) -> DataFra
     return counted.withColumn(out, quoted(out) - 1).drop("__one")
 
 
-def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
-    """Each row ``times`` times; ``__copies`` is dropped."""
-    names = columns_except(df, ["__copies"])
-    repeated = df.withColumn("__copies", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-    return select_names(repeated, names)
+def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> DataFrame:
+    """Each row ``times`` times; ``__copies`` is dropped, ``number`` names a column for the copy's number."""
+    names = columns_except(df, ["__copies"]) + ([number] if number else [])
+    repeated = df.withColumn("__copies", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times.cast("bigint")))))
+    return select_names(repeated.withColumn(number, F.col("__copies")) if number else repeated, names)
 
 
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:

@@ -65,6 +65,11 @@ def month_number(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts) - 1
 
 
+def year_and_month(number: int) -> tuple[int, int]:
+    """The year and month of a :func:`month_number`."""
+    return number // 12, number % 12 + 1
+
+
 def month_roles(df: DataFrame, date: str = "date", train_months: int = 3, test_months: int = 1) -> DataFrame:
     """Which months serve which fold: one row per (fold_id, role, month number).
 

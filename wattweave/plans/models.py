@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime
 import random
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
-from functools import partial
+from functools import partial, reduce
+from itertools import accumulate
+from operator import or_
 from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from pyspark.util import inheritable_thread_target
 
 from wattweave.functions.columns import columns_except, quoted, segment
 from wattweave.operators.aggregates import below_reference, best_candidate, cumulative_share, mean_absolute_error
-from wattweave.operators.splits import first_folds, month_number, month_roles, time_split
+from wattweave.operators.splits import first_folds, month_number, month_roles, time_split, year_and_month
 from wattweave.plans.training_table import Sources, scoring_table
 from wattweave.schemas import MODEL_TYPES, NON_FEATURE_COLUMNS
 from wattweave.sources.sinks import day_path
@@ -34,16 +37,19 @@ PARALLEL_FITS = 4
 class Parameters:
     """``objective`` l2 fits boosted trees, poisson a generalized linear model.
 
-    ``options`` are passed to the Spark estimator.
+    ``rounds`` is the largest number of boosting rounds; those after the lowest error on the
+    test rows are given up, and a warning says so if that is the last one, as more rounds
+    might then do better. ``options`` are passed to the Spark estimator.
     """
 
     objective: str = "l2"
     seed: int = 42
+    rounds: int = 100
     options: dict = field(default_factory=dict)
 
     def estimator(self):
         if self.objective == "l2":
-            settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": self.seed} | self.options
+            settings = {"maxIter": self.rounds, "maxDepth": 5, "stepSize": 0.1, "seed": self.seed} | self.options
             return GBTRegressor(featuresCol="features", labelCol=LABEL, lossType="squared", **settings)
         if self.objective == "poisson":
             settings = {"regParam": 0.01, "maxIter": 25} | self.options
@@ -62,8 +68,11 @@ def model_frame(df: DataFrame, columns: list[str] | None = None, test_months: in
     return marked.drop("date")
 
 
-def feature_stages(df: DataFrame) -> list:
-    """Index every text column, then gather all features into one vector."""
+def feature_stages(df: DataFrame, one_hot: bool = False) -> list:
+    """Index every text column, then gather all features into one vector.
+
+    Trees take category numbers as categories; a linear model needs ``one_hot``.
+    """
     excluded = {LABEL, IS_TEST, "fold_id", "test_start", "role"}
     text = [c for c, kind in df.dtypes if kind == "string" and c not in excluded]
     numbers = columns_except(df, excluded | set(text))
@@ -71,6 +80,10 @@ def feature_stages(df: DataFrame) -> list:
     stages = []
     if text:
         stages.append(StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="keep"))
+        if one_hot:
+            hot = [f"{c}__hot" for c in text]
+            stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, handleInvalid="keep"))
+            indexed = hot
     return stages + [VectorAssembler(inputCols=numbers + indexed, outputCol="features", handleInvalid="keep")]
 
 
@@ -90,14 +103,20 @@ def fit_with_curve(
     """
     frame = _plain_names(frame)
     train_rows = frame.filter(~F.col(IS_TEST))
-    encoder = Pipeline(stages=feature_stages(frame)).fit(train_rows)
+    encoder = Pipeline(stages=feature_stages(frame, parameters.objective == "poisson")).fit(train_rows)
     encoded = encoder.transform(frame).select("features", LABEL, IS_TEST).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = encoded.filter(~F.col(IS_TEST)), encoded.filter(F.col(IS_TEST))
     estimator = parameters.estimator()
+    if parameters.objective == "l2" and len(encoder.stages) > 1:
+        # every category needs a bin of its own, the one for unknown texts included
+        most = max(len(labels) for labels in encoder.stages[0].labelsArray) + 1
+        estimator = estimator.setMaxBins(max(estimator.getMaxBins(), most))
     fitted, curve = estimator.fit(train), []
     if parameters.objective == "l2":
         curve = _errors_by_round(fitted, train, test)
         best = min(curve, key=lambda row: row[2])[0] if curve else estimator.getMaxIter()
+        if curve and best == estimator.getMaxIter() > 1:
+            warnings.warn(f"the last of {best} rounds has the lowest test error; allow more rounds", stacklevel=2)
         if best < estimator.getMaxIter():
             fitted = estimator.copy({estimator.maxIter: best}).fit(train)
     encoded.unpersist()
@@ -135,19 +154,34 @@ def train_segments(
     table: DataFrame,
     parameters: dict[str, Parameters] | None = None,
     by_business: bool = True,
-    frame: Callable[[DataFrame], DataFrame] = model_frame,
+    frame: Callable[..., DataFrame] = model_frame,
+    columns: dict[str, list[str]] | None = None,
 ) -> dict[tuple[str, bool | None], PipelineModel]:
-    """One model per segment, each with the parameters of its model type.
+    """One model per segment, each with the parameters and the columns of its model type.
+
+    Segments without enough training rows (see ``_can_be_fitted``) are left out.
 
-    ``frame`` turns the rows of a segment into features, label and ``is_test``.
+    ``frame`` turns the rows of a segment into features, label and ``is_test``. The table is
+    read several times per segment: store it first (``training_table.store_training_table``).
     """
-    parameters = parameters or {}
+    parameters, columns = parameters or {}, columns or {}
     keys = segments(by_business)
 
-    def train(key: tuple[str, bool | None]) -> PipelineModel:
-        return fit(frame(segment(table, *key)), parameters.get(key[0], Parameters()))
+    def train(key: tuple[str, bool | None]) -> PipelineModel | None:
+        options = {"columns": columns[key[0]]} if key[0] in columns else {}
+        data = frame(segment(table, *key), **options)
+        return fit(data, parameters.get(key[0], Parameters())) if _can_be_fitted(data) else None
 
-    return dict(zip(keys, _side_by_side(table.sparkSession, train, keys)))
+    fitted = zip(keys, _side_by_side(table.sparkSession, train, keys))
+    return {key: model for key, model in fitted if model is not None}
+
+
+def _can_be_fitted(frame: DataFrame) -> bool:
+    """Whether there are more training rows than values of any text column, as trees need."""
+    text = [c for c, kind in frame.dtypes if kind == "string"]
+    sizes = [F.count(F.lit(1)), *[F.count_distinct(quoted(c)) for c in text]]
+    rows, *values = frame.filter(~F.col(IS_TEST)).agg(*sizes).first()
+    return rows > max(values, default=0)
 
 
 def _side_by_side(spark: SparkSession, function: Callable, items: list) -> list:
@@ -194,11 +228,16 @@ def fold_scores(
 
     rows = table.drop(*NON_FEATURE_COLUMNS)
     number = month_number(F.col("date"))
+    parts = {"year", "month"} <= set(table.columns)
 
     def score(fold_id: int) -> tuple[int, float]:
         used = months[fold_id]
-        frame = rows.filter(number.isin(used["train"] + used["test"])).withColumn(IS_TEST, number.isin(used["test"]))
-        frame = frame.drop("date")
+        every = used["train"] + used["test"]
+        frame = rows
+        if parts:  # of a table stored by month, other months are not read
+            pairs = [(F.col("year") == y) & (F.col("month") == m) for y, m in map(year_and_month, every)]
+            frame = frame.filter(reduce(or_, pairs))
+        frame = frame.filter(number.isin(every)).withColumn(IS_TEST, number.isin(used["test"])).drop("date")
         return fold_id, test_error(fit(frame, parameters), frame)
 
     spark = table.sparkSession
@@ -209,12 +248,18 @@ def feature_importances(spark: SparkSession, model: PipelineModel, frame: DataFr
     """feature, importance, importance_perc and importance_perc_cumulative, best first."""
     fitted = model.stages[-1]
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    names = [n.removesuffix("__index") for n in assembler.getInputCols()]
-    scores = fitted.featureImportances.toArray() if hasattr(fitted, "featureImportances") else abs(fitted.coefficients.toArray())
+    hot = next((s for s in model.stages if isinstance(s, OneHotEncoderModel)), None)
+    widths = dict(zip(hot.getOutputCols(), hot.categorySizes)) if hot else {}
+    inputs = assembler.getInputCols()
+    slots = fitted.featureImportances.toArray() if hasattr(fitted, "featureImportances") else abs(fitted.coefficients.toArray())
+    # the slots of a one-hot column count together
+    ends = list(accumulate(widths.get(n, 1) for n in inputs))
+    scores = [sum(slots[start:end]) for start, end in zip([0, *ends], ends)]
+    names = [n.removesuffix("__index").removesuffix("__hot") for n in inputs]
     table = spark.createDataFrame(
         [(n, float(s)) for n, s in zip(names, scores)], "feature string, importance double"
     )
-    return cumulative_share(table, "feature", "importance", known_rows=len(names))
+    return cumulative_share(table, "feature", "importance", ranges=1)
 
 
 def weaker_than_noise(importances: DataFrame) -> DataFrame:
@@ -274,6 +319,31 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_segments(fitted: dict[tuple[str, bool], PipelineModel], base: str, run_date: datetime.date) -> None:
+    """Save the model of every segment below the day of the run."""
+    for (kind, side), model in fitted.items():
+        save_model(model, model_path(base, run_date, kind, side))
+
+
+def score_segments(table: DataFrame, base: str, run_date: datetime.date) -> DataFrame:
+    """Rows of the table with the prediction of their segment's saved model, and the segment.
+
+    Segments without a saved model are left out.
+    """
+    scored = []
+    for kind, side in segments():
+        model = load_model(model_path(base, run_date, kind, side))
+        if model is not None:
+            part = predict(model, segment(table, kind, side).drop("date"))
+            part = part.select("client_id", "datetime", PREDICTION)
+            scored.append(part.withColumns({"model_type": F.lit(kind), "is_business": F.lit(side)}))
+    if not scored:
+        return table.select("client_id", "datetime").limit(0).withColumns(
+            {PREDICTION: F.lit(0.0), "model_type": F.lit(""), "is_business": F.lit(False)}
+        )
+    return reduce(DataFrame.unionByName, scored)
+
+
 def load_model(path: str) -> PipelineModel | None:
     """The saved model, or None if there is nothing at ``path``."""
     try:

@@ -19,6 +19,7 @@ from wattweave.functions.columns import (
     segment,
     select_names,
 )
+from wattweave.operators.aggregates import has_null_column
 from wattweave.operators.joins import add_entity_id, add_target_lags, add_target_lags_by_join, suffix_join
 from wattweave.operators.ordering import repeat_rows
 from wattweave.operators.splits import between_times, interval_values
@@ -34,7 +35,7 @@ from wattweave.schemas import (
     WEATHER_KEYS,
 )
 from wattweave.sources import tables
-from wattweave.sources.sinks import day_path, read_table, write_run
+from wattweave.sources.sinks import read_table, run_path, write_run
 
 
 @dataclass(frozen=True)
@@ -102,18 +103,30 @@ JOIN_KEYS = {
     "measured": ["county", "datetime"],
 }
 BROADCAST_BYTES = 256 * 2**20
+ROW_BYTES = 40 * 16  # of a joined row, at 16 bytes for each of at most 40 columns
+COPY = "__copy"  # number of a row among those that a join has made of one
 
 
 @dataclass(frozen=True)
 class JoinFacts:
-    """Row counts of the tables that metering is joined with, and whether keys repeat."""
+    """Row counts of the tables that metering is joined with, and how often a key occurs at most."""
 
     rows: dict[str, int]
-    repeats: bool
+    most: dict[str, int]
 
-    def fits(self, name: str, df: DataFrame) -> bool:
-        """Whether the counted rows, at 16 bytes per column, may be sent to every executor."""
-        return self.rows[name] * len(df.columns) * 16 <= BROADCAST_BYTES
+    @property
+    def repeats(self) -> bool:
+        return any(most > 1 for most in self.most.values())
+
+    def broadcast(self, limit: int) -> set[str]:
+        """Tables to send to every executor: the smallest ones whose counted bytes stay below the limit together."""
+        chosen, total = set(), 0
+        for name, rows in sorted(self.rows.items(), key=lambda item: item[1]):
+            total += rows * ROW_BYTES
+            if total > limit:
+                break
+            chosen.add(name)
+        return chosen
 
 
 def join_facts(sources: Sources) -> JoinFacts:
@@ -127,14 +140,23 @@ def join_facts(sources: Sources) -> JoinFacts:
         for name, on in JOIN_KEYS.items()
     ]
     found = reduce(DataFrame.union, counts).collect()  # one row per table
-    return JoinFacts({r["name"]: r["rows"] for r in found}, any(r["most"] > 1 for r in found))
-
-
-def join_sources(sources: Sources, facts: JoinFacts, lag_days: int | None = None) -> DataFrame:
+    facts = JoinFacts({r["name"]: r["rows"] for r in found}, {r["name"]: r["most"] for r in found})
+    for name in ("gas", "clients"):
+        if facts.most[name] > 1:
+            raise ValueError(
+                f"{name} has {facts.most[name]} rows for one {JOIN_KEYS[name]}: each would repeat the metering rows it "
+                "meets. Without a data_block_id of its own a table gets one constant block; give it one."
+            )
+    return facts
+
+
+def join_sources(
+    sources: Sources, facts: JoinFacts, lag_days: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """All tables joined to the metering rows; ``data_block_id`` keeps later data out.
 
-    Tables whose counted size is small are broadcast, so that the wide rows of metering
-    are not shuffled; the others are left to Spark. With ``lag_days`` the target lags are
+    Tables whose counted size is small, in sum below ``broadcast_bytes``, are broadcast, so that
+    the wide rows of metering are not shuffled; the others are left to Spark. With ``lag_days`` the target lags are
     added before anything is joined, while rows are narrow. That is the same as adding
     them afterwards if no join repeats rows.
     """
@@ -142,8 +164,10 @@ def join_sources(sources: Sources, facts: JoinFacts, lag_days: int | None = None
     if lag_days is not None:
         data = add_target_lags(data, lag_days=lag_days)
 
+    small = facts.broadcast(broadcast_bytes)
+
     def join(name: str, table: DataFrame, on: list[str], suffix: str = "_right") -> DataFrame:
-        return suffix_join(data, F.broadcast(table) if facts.fits(name, table) else table, on, suffix=suffix)
+        return suffix_join(data, F.broadcast(table) if name in small else table, on, suffix=suffix)
 
     data = join("clients", sources.clients, CONTRACT_KEYS, "_client")
     data = join("gas", sources.gas, ["data_block_id"], "_gas")
@@ -153,7 +177,7 @@ def join_sources(sources: Sources, facts: JoinFacts, lag_days: int | None = None
     # The block is no key here: with k blocks at one county and time, each of the two
     # rolling tables repeats the row k times.
     data = join("measured", measured_rolling(sources.measured), ["county", "datetime"])
-    return repeat_rows(data, F.coalesce(F.col("__copies") * F.col("__copies"), F.lit(1)))
+    return repeat_rows(data, F.coalesce(F.col("__copies") * F.col("__copies"), F.lit(1)), number=COPY)
 
 
 def add_features(data: DataFrame, holidays=None) -> DataFrame:
@@ -175,14 +199,16 @@ def training_table(
     noise: bool = True,
     seed: int = 42,
     lag_days: int = LAG_DAYS,
-    lags: str = "auto",
+    lags: str = "join",
     holidays=None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The feature table of the given interval (default: the last train + test months).
 
-    ``lags`` says how target lags are found: "before" or "after" the joins, or by one
-    self-join per lag ("join"), which also takes several targets for one client and
-    time. "auto" is "before" unless a join repeats rows.
+    ``lags`` says how target lags are found. "join" takes one self-join per lag and is right
+    in all cases. With one target per client and time, "after" (the joins) gives the same from
+    one window; if no joined table repeats a key either, so does "before", while rows are
+    narrow. Both raise where their condition does not hold.
 
     With ``model_type`` only that segment is kept, after client ids are assigned and
     before features are built. Rows with any null are dropped.
@@ -194,18 +220,21 @@ def training_table(
         start, end = interval_values(sources.metering, "datetime", train_months, test_months)
     sources = sources.between(start, end)
     facts = join_facts(sources)
-    if lags == "auto":
-        lags = "after" if facts.repeats else "before"
-    data = join_sources(sources, facts, lag_days if lags == "before" else None)
+    if lags not in ("join", "after", "before"):
+        raise ValueError(f"lags must be 'join', 'after' or 'before', got {lags!r}")
+    if lags == "before" and facts.repeats:
+        raise ValueError(f"lags='before' needs tables without repeated keys; rows per key: {facts.most}")
+    data = join_sources(sources, facts, lag_days if lags == "before" else None, broadcast_bytes)
     if model_type is not None:
         data = segment(data, model_type, is_business)
     if lags != "before":
         data = {"after": add_target_lags, "join": add_target_lags_by_join}[lags](data, lag_days=lag_days)
     data = drop_any_null(add_features(data, holidays))
     order = [c for c in TRAINING_TABLE.names if c in data.columns]
-    data = select_names(data, order + [c for c in data.columns if c not in order])
     if noise:
-        data = add_noise(data, ["client_id", "datetime"], seed)
+        data = add_noise(data, ["client_id", "datetime", COPY], seed)
+    data = data.drop(COPY)
+    data = select_names(data, order + [c for c in data.columns if c not in order])
     if columns:
         data = select_names(data, columns + ["noise"] * noise)
     return data
@@ -221,7 +250,22 @@ def store_sources(sources: Sources, base: str, run_date: datetime.date) -> Sourc
     for name, df in vars(sources).items():
         write_run(df, posixpath.join(base, name), run_date)
     spark = sources.metering.sparkSession
-    return Sources(**{name: read_table(spark, day_path(posixpath.join(base, name), run_date)) for name in vars(sources)})
+    return Sources(**{name: read_table(spark, run_path(posixpath.join(base, name), run_date)) for name in vars(sources)})
+
+
+def store_training_table(table: DataFrame, base: str, run_date: datetime.date) -> DataFrame:
+    """Write the table under the day of the run, by month, and go on from the written table.
+
+    Models read it many times, and folds filter on its partition columns. A table with a
+    column of nulls only is refused.
+    """
+    path = run_path(base, run_date)
+    table.repartition("year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    stored = read_table(table.sparkSession, path)
+    stored = stored.withColumns({name: F.col(name).cast(table.schema[name].dataType) for name in ("year", "month")})
+    if table.sparkSession.range(1).select(has_null_column(stored)).first()[0] and not stored.isEmpty():
+        raise ValueError("a column of the training table holds nothing but nulls")
+    return stored.select(table.columns)
 
 
 def scoring_table(sources: Sources, start, end, **options) -> DataFrame:

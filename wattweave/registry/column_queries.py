@@ -364,6 +364,24 @@ def sql_rounding_cast(spark, folder):
     )
 
 
-@query("noise_column")
+@query(
+    "noise_column",
+    """
+    SELECT count(*) AS rows, count(DISTINCT event_id) AS "values", true AS centred, true AS of_unit_spread,
+           true AS equal_when_repeated
+    FROM events
+    """,
+)
 def noise_column(spark, folder):
-    return col.add_noise(table(spark, folder, "events").select("event_id", "value"), ["event_id"], seed=42)
+    """Noise per event, in summary: a value for each key, mean near 0, deviation near 1, the same every time."""
+    events = table(spark, folder, "events").select("event_id")
+    twice = [col.add_noise(df, ["event_id"], seed=42) for df in (events, events.repartition(7))]
+    both = twice[0].join(twice[1].withColumnRenamed("noise", "again"), "event_id")
+    bound = 5 / F.sqrt(F.count("*"))
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("noise").alias("values"),
+        (F.abs(F.avg("noise")) < bound).alias("centred"),
+        (F.abs(F.stddev("noise") - 1) < bound).alias("of_unit_spread"),
+        F.bool_and(F.col("noise") == F.col("again")).alias("equal_when_repeated"),
+    )

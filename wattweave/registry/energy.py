@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from wattweave.functions.calendar import add_calendar_parts, publication_shift
 from wattweave.functions.columns import quoted
 from wattweave.plans import models
-from wattweave.plans.training_table import Sources, training_table
+from wattweave.plans.training_table import Sources, store_training_table, training_table
 from wattweave.registry import query
+from wattweave.registry.folds import _COMPLETE, _FOLDS
 from wattweave.schemas import (
     CLIENTS,
     CYCLES,
@@ -258,85 +259,136 @@ def _training_sql() -> str:
 
 @query("training_table", _training_sql())
 def training_table_from_events(spark, folder):
-    return shown(training_table(sources(spark, folder), noise=False))
+    return shown(training_table(sources(spark, folder), noise=False, lags="before"))
 
 
 # --- models -----------------------------------------------------------------------
-_SMALL = models.Parameters(options={"maxIter": 5, "maxDepth": 3})
+# Boosting is not the subject of these queries: few rounds of small trees, over all rows and columns.
+_FEW = models.Parameters(rounds=5, options={"maxDepth": 3})
 _SPLIT_DAYS = 7
+_TABLE = f"WITH built AS ({_training_sql()}), marked AS (SELECT *, date > max(date) OVER () - {_SPLIT_DAYS} AS is_test FROM built)"
+_NO_FEATURES = {*models.NON_FEATURE_COLUMNS, models.LABEL, "date"} & {*TRAINING_TABLE.names}
+# segments with more training rows than product types
+_FITTED = "count(*) FILTER (NOT is_test) > count(DISTINCT product_type) FILTER (NOT is_test)"
+_KINDS = ", ".join(f"({side}, '{name}')" for name, side in models.MODEL_TYPES.items())
 
 
 def _table(spark, folder, **options) -> DataFrame:
-    return durable(training_table(sources(spark, folder), **options))
+    return durable(training_table(sources(spark, folder), lags="before", **options))
 
 
-def _recent(table: DataFrame, **_) -> DataFrame:
+def _recent(table: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Model frame whose last week is the test set: the events span one month only."""
     last = table.agg(F.max("date")).scalar()
     frame = table.drop(*models.NON_FEATURE_COLUMNS)
-    return frame.withColumn(models.IS_TEST, F.col("date") > F.date_sub(last, _SPLIT_DAYS)).drop("date")
-
-
-@query("segment_models")
+    frame = frame.withColumn(models.IS_TEST, F.col("date") > F.date_sub(last, _SPLIT_DAYS)).drop("date")
+    return frame.select([quoted(c) for c in columns] + [models.IS_TEST]) if columns else frame
+
+
+@query(
+    "segment_models",
+    f"""{_TABLE}
+    SELECT name AS model_type, is_business = 1 AS is_business, count(*) FILTER (is_test) AS test_rows,
+           count(*) FILTER (is_test) > 0 AS scored
+    FROM marked JOIN (VALUES {_KINDS}) kinds(code, name) ON is_consumption = code
+    GROUP BY name, is_business HAVING {_FITTED}
+    """,
+)
 def segment_models(spark, folder):
     """Fit one model per segment and score it on the last week."""
-    data = _table(spark, folder)
-    fitted = models.train_segments(data, {"consumer": _SMALL, "producer": _SMALL}, frame=_recent)
-    return models.segment_scores(data, fitted, frame=_recent)
+    data = _table(spark, folder, noise=False)
+    fitted = models.train_segments(data, {"consumer": _FEW, "producer": _FEW}, frame=_recent)
+    scores = models.segment_scores(data, fitted, frame=_recent)
+    return scores.select("model_type", "is_business", "test_rows", F.col("mae").isNotNull().alias("scored"))
 
 
-@query("fold_scores")
+@query(
+    "fold_scores",
+    _FOLDS.format(train=6, test=3)
+    + f"""
+    SELECT DISTINCT fold_id, true AS scored FROM used WHERE {_COMPLETE}
+    """,
+)
 def fold_scores(spark, folder):
-    """Month folds over daily order totals per nation: fit and score the first three."""
+    """Fit and score every month fold over daily order totals per nation, stored by month."""
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     daily = (
         table(spark, folder, "orders")
         .join(customers, on="o_custkey")
         .groupBy("c_nationkey", F.col("o_orderdate").cast("date").alias("date"))
         .agg(F.sum("o_totalprice").alias("target"), F.count(F.lit(1)).alias("orders"))
-        .withColumns({"weekday": F.weekday("date") + 1, "month": F.month("date")})
+        .withColumns({"weekday": F.weekday("date") + 1, "year": F.year("date"), "month": F.month("date")})
     )
-    return models.fold_scores(durable(daily), _SMALL, train_months=6, test_months=3, max_folds=3)
-
-
-@query("batch_score")
+    base = posixpath.join(shared_dir(spark), f"daily-{uuid.uuid4().hex}")
+    stored = store_training_table(daily, base, datetime.date(2024, 1, 31))
+    scores = models.fold_scores(stored, _FEW, train_months=6, test_months=3)
+    return scores.select("fold_id", (F.col("mae") > 0).alias("scored"))
+
+
+@query(
+    "batch_score",
+    f"""{_TABLE}
+    SELECT client_id, datetime, kinds.name AS model_type, is_business = 1 AS is_business, true AS predicted
+    FROM marked JOIN (VALUES {_KINDS}) kinds(code, name) ON is_consumption = code
+    WHERE (is_consumption, is_business) IN
+          (SELECT (is_consumption, is_business) FROM marked GROUP BY is_consumption, is_business HAVING {_FITTED})
+    """,
+)
 def batch_score(spark, folder):
-    """Save a fitted segment model, load it again and predict an interval."""
+    """Save a fitted model for each segment, load them again and predict the whole interval."""
     data = sources(spark, folder)
-    train = durable(training_table(data, model_type="consumer", is_business=False, noise=False))
-    path = models.model_path(
-        posixpath.join(shared_dir(spark), f"models-{uuid.uuid4().hex}"), datetime.date(2024, 1, 31), "consumer", False
+    train = durable(training_table(data, noise=False, lags="before"))
+    base, day = posixpath.join(shared_dir(spark), f"models-{uuid.uuid4().hex}"), datetime.date(2024, 1, 31)
+    fitted = models.train_segments(train, {"consumer": _FEW, "producer": _FEW}, frame=_recent)
+    models.save_segments(fitted, base, day)
+    scored = models.score_segments(train, base, day)
+    return scored.select(
+        "client_id", "datetime", "model_type", "is_business", F.col("prediction").isNotNull().alias("predicted")
     )
-    models.save_model(models.fit(_recent(train), _SMALL), path)
-    start, end = datetime.datetime(2024, 1, 2), datetime.datetime(2024, 1, 30, 23)
-    scored = models.score_interval(data, path, "consumer", False, start, end)
-    return scored.select("client_id", "datetime", "target", "prediction")
 
 
-@query("learning_curve")
+@query("learning_curve", "SELECT i::INTEGER AS iteration, true AS measured FROM range(1, 6) rounds(i)")
 def learning_curve(spark, folder):
-    frame = _recent(_table(spark, folder))
-    return models.learning_curve(frame, _SMALL)
+    curve = models.learning_curve(_recent(_table(spark, folder)), _FEW)
+    return curve.select("iteration", ((F.col("train") > 0) & (F.col("valid") > 0)).alias("measured"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""
+    SELECT {len(TRAINING_TABLE.names) - len(_NO_FEATURES) + 1}::BIGINT AS features, true AS sums_to_100,
+           true AS cumulative_ends_at_100, true AS noise_ranked, true AS some_beat_noise
+    FROM (SELECT count(*) FROM events)
+    """,
+)
 def feature_importance(spark, folder):
-    """Importances of a fitted model, with the features that the noise column beats marked."""
+    """Importances of a fitted model over all features and the noise column, in summary."""
     frame = _recent(_table(spark, folder))
-    importances = models.feature_importances(spark, models.fit(frame, _SMALL), frame)
-    weak = models.weaker_than_noise(importances).select("feature", F.lit(True).alias("below_noise"))
-    return importances.join(weak, on="feature", how="left").fillna(False, ["below_noise"])
+    importances = models.feature_importances(spark, models.fit(frame, _FEW), frame)
+    weak = models.weaker_than_noise(importances).agg(F.count("*")).scalar()
+    return importances.agg(
+        F.count("*").alias("features"),
+        (F.abs(F.sum("importance_perc") - 100) < 1e-6).alias("sums_to_100"),
+        (F.abs(F.max("importance_perc_cumulative") - 100) < 1e-6).alias("cumulative_ends_at_100"),
+        F.coalesce(F.max(F.when(F.col("feature") == "noise", F.lit(True))), F.lit(False)).alias("noise_ranked"),
+        (weak < F.count("*")).alias("some_beat_noise"),
+    )
 
 
-@query("candidate_scores")
+@query(
+    "candidate_scores",
+    """
+    SELECT candidate, objective, true AS scored
+    FROM (VALUES ('shallow', 'l2'), ('deep', 'l2'), ('poisson', 'poisson')) candidates(candidate, objective)
+    """,
+)
 def candidate_scores(spark, folder):
-    """Two tree depths and a Poisson model on the capacity features, scored on the last week."""
-    data = _table(spark, folder, noise=False)
-    columns = ["target", "eic_count", "installed_capacity", "target_2_days_ago", "target_7_days_ago", "product_type"]
-    frame = _recent(data).select(*columns, models.IS_TEST)
+    """Two tree depths and a Poisson model on all features, scored on the last week."""
+    frame = _recent(_table(spark, folder, noise=False))
     candidates = {
-        "shallow": models.Parameters(options={"maxIter": 5, "maxDepth": 2}),
-        "deep": models.Parameters(options={"maxIter": 5, "maxDepth": 4}),
+        "shallow": models.Parameters(rounds=5, options={"maxDepth": 2}),
+        "deep": models.Parameters(rounds=5, options={"maxDepth": 4}),
         "poisson": models.Parameters("poisson"),
     }
-    return models.candidate_scores(frame, candidates)
+    scores = models.candidate_scores(frame, candidates)
+    return scores.select("candidate", "objective", (F.col("mae") >= 0).alias("scored"))

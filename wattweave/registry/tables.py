@@ -8,12 +8,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from wattweave.functions.columns import whole_number
 from wattweave.operators import aggregates
 from wattweave.operators.ordering import top_rows as first_rows
 from wattweave.registry import query
 from wattweave.registry.column_queries import _LATE, _customers_with_late_orders
 from wattweave.session import shared_dir
 from wattweave.sources import sinks
+from wattweave.sources.tables import read_csv
 from wattweave.sources.views import table
 from wattweave.streaming import ingest
 
@@ -225,6 +227,53 @@ def client_ingest_stream(spark, folder):
     return _shown(sinks.read_table(spark, path))
 
 
+@query("client_ingest_by_day", _CLIENTS_SQL)
+def client_ingest_by_day(spark, folder):
+    """Stream the records in many batches, whose days overlap, run twice, and read the table back."""
+    base = posixpath.join(shared_dir(spark), f"clients-{uuid.uuid4().hex}")
+    inbox, path, progress = (posixpath.join(base, name) for name in ("inbox", "table", "progress"))
+    messages = _messages(table(spark, folder, "customer"))
+    messages.repartition(3).write.text(inbox)
+    for _ in range(2):
+        arriving = spark.readStream.option("maxFilesPerTrigger", 1).text(inbox)
+        ingest.stream_clients_by_day(arriving, _counties(spark, folder), path, progress).awaitTermination()
+    return _shown(sinks.read_table(spark, path)).drop("batch")
+
+
+@query("csv_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def csv_roundtrip(spark, folder):
+    """Customers written as CSV in two column orders and read back by name."""
+    base = posixpath.join(shared_dir(spark), f"csv-{uuid.uuid4().hex}")
+    names = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    customers = table(spark, folder, "customer").select(names)
+    parts = [customers.filter("c_custkey % 2 = 0"), customers.filter("c_custkey % 2 = 1").select(names[::-1])]
+    read = []
+    for i, part in enumerate(parts):
+        part.write.option("header", True).csv(posixpath.join(base, str(i)))
+        read.append(read_csv(spark, posixpath.join(base, str(i))))
+    kinds = dict(customers.dtypes)
+    return sinks.union_tables(*read).select(
+        [whole_number(F.col(n), kinds[n]).alias(n) if kinds[n] in ("int", "bigint") else F.col(n) for n in names]
+    )
+
+
+@query(
+    "run_partitions",
+    """
+    SELECT o_orderkey, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
+           day(o_orderdate)::INTEGER AS day, run_date
+    FROM orders, (VALUES (DATE '2024-01-31'), (DATE '2024-02-01')) runs(run_date)
+    """,
+)
+def run_partitions(spark, folder):
+    """A table with date columns of its own, written by two runs and read as one data set."""
+    base = posixpath.join(shared_dir(spark), f"runs-{uuid.uuid4().hex}")
+    orders = sinks.with_day_parts(table(spark, folder, "orders"), "o_orderdate").select("o_orderkey", *sinks.DAY_PARTS)
+    for day in (datetime.date(2024, 1, 31), datetime.date(2024, 2, 1)):
+        sinks.write_run(orders, base, day)
+    return sinks.read_table(spark, base)
+
+
 @query(
     "daily_backfill",
     """

@@ -41,19 +41,27 @@ def with_day_parts(df: DataFrame, date: str = "date") -> DataFrame:
     return df.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
 
-def write_daily(df: DataFrame, path: str, date: str = "date") -> None:
+def write_daily(df: DataFrame, path: str, date: str = "date", within: list[str] | None = None) -> None:
     """Write each day of ``df`` to its partition, replacing that partition and no other.
 
+    ``within`` names columns that part a day further.
+
     The rebalance hint gathers a day's rows into few files and still splits a day that
     is too large for one task.
     """
-    parts = with_day_parts(df, date).hint("rebalance", *DAY_PARTS)
-    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*DAY_PARTS).parquet(path)
+    names = DAY_PARTS + (within or [])
+    parts = with_day_parts(df, date).hint("rebalance", *names)
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
+
+
+def run_path(base: str, run_date: datetime.date) -> str:
+    """Folder of the run of a day; its name cannot clash with a table's own year, month or day."""
+    return posixpath.join(base, f"run_date={run_date.isoformat()}")
 
 
 def write_run(df: DataFrame, path: str, run_date: datetime.date) -> None:
     """Write a whole table under the partition of the day it was made."""
-    df.write.mode("overwrite").parquet(day_path(path, run_date))
+    df.write.mode("overwrite").parquet(run_path(path, run_date))
 
 
 def calendar(spark: SparkSession, start: datetime.date, end: datetime.date) -> DataFrame:
@@ -62,8 +70,11 @@ def calendar(spark: SparkSession, start: datetime.date, end: datetime.date) -> D
     return spark.range(1).select(F.explode(days).alias("date"))
 
 
-def written_days(spark: SparkSession, path: str) -> DataFrame:
-    """Days that already have a partition; none if there is no table yet."""
+def written_days(spark: SparkSession, path: str, start: datetime.date | None = None, end: datetime.date | None = None) -> DataFrame:
+    """Days that already have a partition, in the interval if one is given; none without a table.
+
+    The interval is a filter on partition columns, so only its folders are looked into.
+    """
     none = spark.createDataFrame([], "date date")
     try:
         table = spark.read.parquet(path)
@@ -71,6 +82,11 @@ def written_days(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return none
         raise
+    day = F.make_date(*DAY_PARTS)
+    if start is not None:
+        table = table.filter(F.col("year") >= start.year).filter(day >= F.lit(start))
+    if end is not None:
+        table = table.filter(F.col("year") <= end.year).filter(day <= F.lit(end))
     # partition columns only: no column chunk is read
     return table.select(*DAY_PARTS).distinct().select(F.make_date(*DAY_PARTS).alias("date"))
 
@@ -89,7 +105,7 @@ def backfill_daily(
     rows are reported with 0 and get no partition.
     """
     spark = df.sparkSession
-    todo = pending_days(calendar(spark, start, end), written_days(spark, path)).withColumnRenamed("date", date)
+    todo = pending_days(calendar(spark, start, end), written_days(spark, path, start, end)).withColumnRenamed("date", date)
     # the list of days is fixed before the write changes what is there (bounded by the calendar)
     days = [row[0] for row in todo.collect()]
     todo = spark.createDataFrame([(d,) for d in days], f"{date} date")

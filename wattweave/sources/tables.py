@@ -18,7 +18,9 @@ from wattweave.functions.columns import (
     midpoint,
     parse_date,
     parse_datetime,
+    quoted,
     sql_name,
+    whole_number,
 )
 from wattweave.operators.aggregates import group_mean
 from wattweave.operators.joins import join_group_ranges, locate_stations
@@ -41,13 +43,15 @@ from wattweave.schemas import (
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header: a file, a folder or a glob.
 
-    Without a schema all columns are strings, matched by header name; nothing is read
-    to infer types. Only the columns used later are parsed.
+    Without a schema all columns are strings; nothing is read to infer types. Only the
+    columns used later are parsed. All files must have the same header: Spark matches
+    columns by position, so a file in another order is an error here. Read such files
+    apart and put them together by name with ``sinks.union_tables``.
     """
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    if schema is None:
+        schema = reader.csv(path).schema  # of the first file's header
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -64,15 +68,20 @@ def read_json_lookup(spark: SparkSession, path: str, key: str = "county", value:
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to ``schema``. Text such as "1.0" is a valid integer."""
-    text = {name for name, kind in df.dtypes if kind == "string"}
-    whole = {f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
-    df = cast_columns(df, {name: "double" for name in text & whole})
+    """Select and cast to ``schema``. Text such as "1.0" is a valid integer, "2.7" is an error."""
+    whole = {f.name: f.dataType.simpleString() for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
+    df = _whole_numbers(df, whole)
     return df.selectExpr(
         *[f"CAST({sql_name(f.name)} AS {f.dataType.simpleString()}) AS {sql_name(f.name)}" for f in schema.fields]
     )
 
 
+def _whole_numbers(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Text columns of these names as integers of the given kinds."""
+    text = {name for name, kind in df.dtypes if kind == "string"}
+    return df.withColumns({name: whole_number(quoted(name), kind) for name, kind in kinds.items() if name in text})
+
+
 def shape_clients(raw: DataFrame) -> DataFrame:
     return add_if_missing(raw).transform(parse_date, "date").transform(_typed, CLIENTS)
 
@@ -108,7 +117,7 @@ def shape_gas(raw: DataFrame) -> DataFrame:
 def shape_stations(raw: DataFrame) -> DataFrame:
     """Stations with their county (-1 and "Unknown" if none) and the county's bounding box."""
     rounded = {c: F.round(F.col(c).cast("float"), 2) for c in ("longitude", "latitude")}
-    known = raw.withColumns(rounded).withColumn("county", F.col("county").cast("tinyint"))
+    known = _whole_numbers(raw.withColumns(rounded), {"county": "tinyint"})
     known = fill_null(known, {"county": -1, "county_name": "Unknown"})
     return join_group_ranges(known, "county", ["longitude", "latitude"]).transform(_typed, STATIONS)
 
@@ -128,6 +137,7 @@ def shape_measured(raw: DataFrame, stations: DataFrame, offset_hours: int = PUBL
 
 def _county_weather(readings: DataFrame, stations: DataFrame, measures: list[str]) -> DataFrame:
     typed = add_if_missing(readings).transform(parse_datetime, "datetime")
+    typed = _whole_numbers(typed, {"data_block_id": "smallint"})
     typed = cast_columns(
         typed,
         {"latitude": "float", "longitude": "float", "data_block_id": "smallint"} | {m: "double" for m in measures},

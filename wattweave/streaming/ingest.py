@@ -31,8 +31,8 @@ def kafka_stream(spark: SparkSession, config: dict[str, str]) -> DataFrame:
 
 
 def decode_json(records: DataFrame, schema: T.StructType = CLIENT_MESSAGE, column: str = "value") -> DataFrame:
-    """Fields of the JSON objects in a text or binary column."""
-    parsed = F.from_json(F.col(column).cast("string"), schema)
+    """Fields of the JSON objects in a text or binary column; a malformed record is an error."""
+    parsed = F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"})
     return records.select(parsed.alias("__record")).select("__record.*")
 
 
@@ -74,11 +74,15 @@ def stream_clients(records: DataFrame, counties: DataFrame, path: str, checkpoin
 
 
 def stream_clients_by_day(records: DataFrame, counties: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """As :func:`stream_clients` where each day arrives whole: a batch replaces its days,
-    so a batch that is run again after a failure leaves the same files."""
+    """As :func:`stream_clients`, with few files per day and batch.
 
-    def save(batch: DataFrame, _: int) -> None:
-        write_daily(batch, path)
+    Below its day, each micro-batch has a partition of its own (``batch``), so a day may
+    arrive over any number of batches, and a batch that is run again after a failure
+    replaces what it wrote and nothing else.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        write_daily(batch.withColumn("batch", F.lit(number)), path, within=["batch"])
 
     return (
         prepare_clients(records, counties)
