@@ -63,14 +63,20 @@ def default_block(spark, folder):
 
 
 def _customers_with_late_orders(spark, folder):
-    """Every customer with the orders of 2001: nulls where there are none."""
-    late = table(spark, folder, "orders").filter(F.col("o_orderdate") >= F.lit(datetime.date(2001, 1, 1)))
+    """Every customer with all orders; what is known of an order is null before 2001 and without an order."""
+    late = F.col("o_orderdate") >= F.lit(datetime.date(2001, 1, 1))
+    names = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    late = table(spark, folder, "orders").select("o_custkey", *[F.when(late, F.col(n)).alias(n) for n in names])
     customers = table(spark, folder, "customer")
     return customers.join(late, customers.c_custkey == late.o_custkey, "left")
 
 
 _LATE = """
-    customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= DATE '2001-01-01') o ON c_custkey = o_custkey
+    customer LEFT JOIN (
+        SELECT o_custkey, CASE WHEN late THEN o_orderkey END AS o_orderkey, CASE WHEN late THEN o_totalprice END AS o_totalprice,
+               CASE WHEN late THEN o_orderpriority END AS o_orderpriority
+        FROM (SELECT *, o_orderdate >= DATE '2001-01-01' AS late FROM orders)
+    ) ON c_custkey = o_custkey
 """
 
 
