@@ -266,7 +266,7 @@ def training_table_from_events(spark, folder):
 # Boosting is not the subject of these queries: few rounds of small trees, over all rows and columns.
 _FEW = models.Parameters(rounds=5, options={"maxDepth": 3})
 _SPLIT_DAYS = 7
-_TABLE = f"WITH built AS ({_training_sql()}), marked AS (SELECT *, date > max(date) OVER () - {_SPLIT_DAYS} AS is_test FROM built)"
+_TABLE = f"WITH built AS ({_training_sql()}), marked AS (SELECT *, date > max(date) OVER (PARTITION BY is_consumption, is_business) - {_SPLIT_DAYS} AS is_test FROM built)"
 _NO_FEATURES = {*models.NON_FEATURE_COLUMNS, models.LABEL, "date"} & {*TRAINING_TABLE.names}
 # segments with more training rows than product types
 _FITTED = "count(*) FILTER (NOT is_test) > count(DISTINCT product_type) FILTER (NOT is_test)"
