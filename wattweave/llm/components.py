@@ -159,7 +159,10 @@ def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int, expand: Ex
     weighed = own.withColumns({"lacked": lacked, "marks": marks}).withColumn(
         "weight", (whole * F.col("marks") - (100 - percent) * F.col("size")).cast("long")
     )
-    weighed = durable(weighed.select("group", "id", "component", "size", "marks", "weight", "lacked"))
+    # No member within the sizes that a link allows weighs less than this beside x.
+    beside = (2 * percent * percent * F.col("size") / 100).cast("long") - whole * F.size("core_items")
+    weighed = weighed.withColumn("beside", beside)
+    weighed = durable(weighed.select("group", "id", "component", "size", "marks", "weight", "lacked", "beside"))
 
     least = weighed.groupBy("group").agg(F.min_by("id", "weight").alias("id")).select("id")
     least = weighed.join(least, "id", "left_semi").select("group", "weight", *_other("id", "component", "size"))
@@ -173,7 +176,8 @@ def _pairs_by_item(members: DataFrame, sets: DataFrame, percent: int, expand: Ex
     lacks = lacks.select("group", "id", F.struct(rarity, F.lit(True).alias("lacks"), "item").alias("mark"))
     order = outside.unionByName(lacks).groupBy("group", "id").agg(F.array_sort(F.collect_list("mark")).alias("order"))
     placed = weighed.drop("lacked", "group").join(order, "id").join(least.select("group", "least_weight"), "group")
-    common = F.greatest(F.lit(1), F.ceil((F.col("weight") + F.col("least_weight")) / (2 * whole)))
+    lightest = F.greatest("least_weight", "beside")
+    common = F.greatest(F.lit(1), F.ceil((F.col("weight") + lightest) / (2 * whole)))
     alone = F.col("marks") - F.size("order")  # marks of this member only: they come first
     room = (F.col("marks") - common + 1 - alone).cast("int")
     placed = placed.withColumn("alone", alone).where(room > 0).select(
