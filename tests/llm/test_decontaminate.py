@@ -96,3 +96,41 @@ def test_limits(docs, items):
     table = items([(1, passage, 1)])
     assert decontaminate.remove(docs([(1, text)]), table, max_coverage=0.4).collect() == []
     assert decontaminate.remove(docs([(1, text)]), table, min_span=11).collect()[0]["text"] == text
+
+
+def test_what_is_removed_does_not_depend_on_the_blocks(clashing_docs, items):
+    numbered = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    third, other, outer, inner = numbered("a", 15), numbered("b", 15), numbered("o", 10), numbered("i", 10)
+    nested = f"{numbered('f', 60)} {outer[:14]} {inner} {outer[15:]} {numbered('g', 60)}"
+    rows = [
+        (1, f"{third} {numbered('f', 10)} {other} {numbered('g', 10)}"),  # two items of 30 % each: goes
+        (2, nested),
+        (2, nested),
+        (None, f"{third} {numbered('f', 40)}"),
+        (3, None),
+        (4, ""),
+        (5, "Free, of all."),
+    ]
+    for order in ([third, other, outer, inner], [inner, outer, other, third]):
+        table = items([(k, text, 1) for k, text in enumerate(order)])
+        docs = clashing_docs(rows)
+        texts = []
+        for block_words in (decontaminate.BLOCK_WORDS, 20, 1):
+            kept = decontaminate.remove(docs, table, block_words=block_words)
+            assert kept.columns == docs.columns
+            texts.append(sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()))
+        assert texts[0] == texts[1] == texts[2]
+        assert [i for i, _ in texts[0]] == ["2", "2", "3", "4", "5", "None"]
+        assert all(not brute(text, list(enumerate(order)))[4] for _, text in texts[0])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_removal_by_blocks_equals_removal_by_one(docs, items, seed):
+    benchmark, rows = case(seed)
+    table = items([(i, t, 1) for i, t in benchmark])
+    for options in ({}, {"min_span": 4, "max_coverage": 0.9}):
+        one, several = (
+            sorted(tuple(r)[:2] for r in decontaminate.remove(docs(rows), table, block_words=n, **options).collect())
+            for n in (decontaminate.BLOCK_WORDS, 60)
+        )
+        assert one == several

@@ -6,9 +6,11 @@ any item. A length of ``window`` or more means that a window of an item ends the
 item shorter than a window is found by the state of its whole text. Words inside such
 occurrences are hit.
 
-Items are handled in blocks of at most ``block_words`` words, which bounds the automaton a
-task holds; with several blocks the hits of a document are merged by document, so results
-do not depend on the block size.
+Items are handled in blocks of at most ``block_words`` words (or one item, if that has more),
+which bounds what the driver and the automaton of a task hold: the hits of a block are
+written before the next one is collected, and then merged by document. What is cut is
+decided on the merged hits of all blocks, so results do not depend on the block size. A
+benchmark of one block is looked for in one lazy pass without a shuffle.
 
 Null and empty texts have no words and no hits; an item without words has no window. Very
 long texts are streamed whole. Repeated documents and items count one by one. Columns
@@ -20,12 +22,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattweave.llm.texts import column, free_name
+from wattweave.session import durable
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -37,6 +41,8 @@ MAX_COVERAGE = 0.5
 # Fixed value: what a word is, after A-Z are lower-cased.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
+#: The same in texts that are not lower-cased.
+_ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -157,15 +163,30 @@ class ItemAutomaton:
                 spans.append((begin, at + 1))
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list]:
-    """Items in blocks of about ``block_words`` words; one block at a time is in memory."""
-    # white space and punctuation apart words, so no item has more words than half its characters + 1
-    items = benchmark.select(benchmark[item_col].alias("item"), benchmark[text_col].alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0
-    count = int(total // (block_words * 4)) + 1
-    for block in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == block)
-        yield [(r["item"], r["text"]) for r in part.collect()]
+def _n_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(_ANY_WORD)), F.lit(0)).cast("long")
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """(item, text, n_words) of the items that have words."""
+    items = benchmark.select(benchmark[item_col].alias("item"), benchmark[text_col].alias("text"))
+    return items.withColumn("n_words", _n_words(F.col("text"))).where("n_words > 0")
+
+
+def _is_one_block(items: DataFrame, block_words: int) -> bool:
+    return (items.agg(F.sum("n_words")).first()[0] or 0) <= block_words
+
+
+def _blocks(items: DataFrame, block_words: int) -> Iterator[list]:
+    """Items in blocks of at most ``block_words`` words; one block at a time is in memory."""
+    block, total = [], 0
+    for item, text, n_words in items.toLocalIterator():
+        if block and total + n_words > block_words:
+            yield block
+            block, total = [], 0
+        block.append((item, text))
+        total += n_words
+    yield block
 
 
 def _merged(spans: list[int]) -> list[int]:
@@ -207,6 +228,21 @@ def _united(spans: Column) -> Column:
     return column(run, "spans array<int>", spans)["spans"]
 
 
+def _hits_of_blocks(texts: DataFrame, items: DataFrame, window: int, block_words: int) -> DataFrame:
+    """(row, spans, items) of the rows of (row, text) with a hit, over all blocks.
+
+    Each block's hits are written before the next block is collected, so that the driver and
+    a task hold one block.
+    """
+    parts = []
+    for block in _blocks(items, block_words):
+        found = texts.select("row", _hits(block, window, texts["text"]).alias("hits")).select("row", "hits.spans", "hits.items")
+        parts.append(durable(found.where(F.size("spans") > 0)))
+    every = reduce(DataFrame.unionByName, parts).groupBy("row")
+    every = every.agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return every.select("row", _united(F.col("spans")).alias("spans"), F.array_sort(F.array_distinct("items")).alias("items"))
+
+
 def hit_spans(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -221,7 +257,7 @@ def hit_spans(
 
     Spans are merged and in order; items are the ids, as text, of items with a window in the document.
     """
-    blocks = _blocks(benchmark, item_col, item_text_col, block_words)
+    blocks = _blocks(_items(benchmark, item_col, item_text_col), block_words)
     hits = [_hits(items, window, docs[text_col]).alias(f"__hits{k}") for k, items in enumerate(blocks)]
     found = docs.select(docs[id_col], *hits)
     if len(hits) == 1:
@@ -253,21 +289,65 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
     )
 
 
+def _long(spans: list[tuple[int, int]], min_span: int) -> list[tuple[int, int]]:
+    return [(start, end) for start, end in spans if end - start >= min_span]
+
+
+def _too_much(text: str, spans: list[tuple[int, int]], max_coverage: float) -> bool:
+    return bool(spans) and sum(end - start for start, end in spans) >= max_coverage * len(words_of(text))
+
+
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    places = [m.span() for m in WORD.finditer(text.translate(_LOWER))]
+    kept, at = [], 0
+    for start, end in spans:
+        kept.append(text[at : places[start][0]].rstrip())
+        at = places[end - 1][1]
+    return "\n".join([*kept, text[at:].lstrip()])
+
+
 def cut(text: str, automaton: ItemAutomaton, min_span: int, max_coverage: float) -> str | None:
     """The text without its hit spans; None if too much of it is hit."""
-    while True:
-        places = [m.span() for m in WORD.finditer(text.translate(_LOWER))]
-        spans, _ = automaton.scan(words_of(text))
-        spans = [s for s in spans if s[1] - s[0] >= min_span]
-        if not spans:
-            return text
-        if sum(b - a for a, b in spans) >= max_coverage * len(places):
-            return None
-        kept, at = [], 0
-        for start, end in spans:
-            kept.append(text[at : places[start][0]].rstrip())
-            at = places[end - 1][1]
-        text = "\n".join([*kept, text[at:].lstrip()])  # what is left may touch and form a window: look again
+    spans = _long(automaton.scan(words_of(text))[0], min_span)
+    if _too_much(text, spans, max_coverage):
+        return None
+    while spans:
+        text = _without(text, spans)  # what is left may touch and form a window: look again
+        spans = _long(automaton.scan(words_of(text))[0], min_span)
+    return text
+
+
+def _cut_once(texts: DataFrame, hits: DataFrame, min_span: int, max_coverage: float) -> DataFrame:
+    """(row, text) of the rows whose text changes by one cut of the hits; null where too much of it is hit."""
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, hits in batches:
+            clean, changed = [], []
+            for text, flat in zip(texts, hits):
+                spans = _long(list(zip(flat[::2], flat[1::2])), min_span)
+                clean.append(None if _too_much(text, spans, max_coverage) else _without(text, spans))
+                changed.append(bool(spans))
+            yield pd.DataFrame({"text": pd.Series(clean, dtype=object), "changed": changed})
+
+    both = texts.join(hits, "row")
+    both = both.select("row", column(run, "text string, changed boolean", both["text"], both["spans"]).alias("cut"))
+    return both.where("cut.changed").select("row", "cut.text")
+
+
+def _cut_by_blocks(texts: DataFrame, items: DataFrame, window: int, min_span: int, max_coverage: float, block_words: int) -> DataFrame:
+    """(row, text) of the rows of (row, text) that change, in the end; null for those that go.
+
+    A round cuts what all blocks together hit. Texts that changed are looked at again, by all
+    blocks, until nothing is hit; how much is hit is judged in the first round, on the whole text.
+    """
+    rounds: list[DataFrame] = []
+    while not rounds or not texts.isEmpty():
+        hits = _hits_of_blocks(texts, items, window, block_words)
+        changed = durable(_cut_once(texts, hits, min_span, float("inf") if rounds else max_coverage))
+        rounds.append(changed.withColumn("round", F.lit(len(rounds))))
+        texts = changed.where("text is not null")
+    last = reduce(DataFrame.unionByName, rounds).groupBy("row").agg(F.max_by(F.struct("text"), "round").alias("last"))
+    return last.select("row", "last.text")
 
 
 def remove(
@@ -283,21 +363,32 @@ def remove(
 ) -> DataFrame:
     """The documents, all columns, with hit spans cut out of the text.
 
-    A run of hit words of at least ``min_span`` words is cut. A document goes if the share
-    of its words in such runs is ``max_coverage`` or more. Other texts stay as they are,
+    A run of hit words of at least ``min_span`` words is cut, and what a cut brings together is
+    looked at again. A document goes if the share of its words, before any cut, in such runs is
+    ``max_coverage`` or more. Other texts stay as they are,
     byte for byte; nulls stay null.
     """
     columns = docs.columns
+    items = _items(benchmark, item_col, item_text_col)
+    if not _is_one_block(items, block_words):
+        row = free_name(columns, "__row")
+        docs = durable(docs.withColumn(row, F.monotonically_increasing_id()))
+        texts = docs.select(F.col(row).alias("row"), F.col(text_col).alias("text")).where("text is not null")
+        cuts = _cut_by_blocks(texts, items, window, min_span, max_coverage, block_words)
+        name, of = free_name(columns, "__cut"), free_name(columns, "__of")
+        both = docs.join(cuts.select(F.col("row").alias(of), F.col("text").alias(name)), F.col(row) == F.col(of), "left")
+        both = both.where(F.col(of).isNull() | F.col(name).isNotNull())
+        return both.withColumn(text_col, F.coalesce(name, text_col)).select(*columns)
+
+    block = next(_blocks(items, block_words))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        automaton = ItemAutomaton(block, window)
+        for texts in batches:
+            clean = [cut(t, automaton, min_span, max_coverage) if isinstance(t, str) else None for t in texts]
+            yield pd.DataFrame({"text": pd.Series(clean, dtype=object)})
+
     name = free_name(columns, "__clean")
-    for items in _blocks(benchmark, item_col, item_text_col, block_words):
-
-        def run(batches: Iterator[pd.Series], items=items) -> Iterator[pd.DataFrame]:
-            automaton = ItemAutomaton(items, window)
-            for texts in batches:
-                clean = [cut(t, automaton, min_span, max_coverage) if isinstance(t, str) else None for t in texts]
-                yield pd.DataFrame({"text": pd.Series(clean, dtype=object)})
-
-        docs = docs.withColumn(name, column(run, "text string", docs[text_col]))
-        docs = docs.where(F.col(text_col).isNull() | F.col(f"{name}.text").isNotNull())
-        docs = docs.withColumn(text_col, F.col(f"{name}.text")).select(*columns)
-    return docs
+    docs = docs.withColumn(name, column(run, "text string", docs[text_col]))
+    docs = docs.where(F.col(text_col).isNull() | F.col(f"{name}.text").isNotNull())
+    return docs.withColumn(text_col, F.col(f"{name}.text")).select(*columns)
