@@ -134,3 +134,27 @@ def test_removal_by_blocks_equals_removal_by_one(docs, items, seed):
             for n in (decontaminate.BLOCK_WORDS, 60)
         )
         assert one == several
+
+
+def test_one_block_at_a_time(docs, items, monkeypatch):
+    """A block's hits are written before the next block is collected, and no plan has two blocks."""
+    seen, inner_blocks, inner_durable = [], decontaminate._blocks, decontaminate.durable
+
+    def blocks(*args):
+        for block in inner_blocks(*args):
+            assert sum(len(words(t)) for _, t in block) <= 20 or len(block) == 1
+            seen.append("block")
+            yield block
+
+    def durable(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        seen.append("written")
+        assert plan.count("ArrowEvalPython") <= 1
+        return inner_durable(df)
+
+    monkeypatch.setattr(decontaminate, "_blocks", blocks)
+    monkeypatch.setattr(decontaminate, "durable", durable)
+    benchmark = items([(k, " ".join(f"w{k}x{i}" for i in range(12)), 1) for k in range(6)])
+    rows = docs([(k, f"x {' '.join(f'w{k}x{i}' for i in range(12))} y") for k in range(6)])
+    assert [r["n_hit"] for r in decontaminate.report(rows, benchmark, block_words=20).collect()] == [12] * 6
+    assert seen == ["written"] + ["block", "written"] * 6

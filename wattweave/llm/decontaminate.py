@@ -257,17 +257,20 @@ def hit_spans(
 
     Spans are merged and in order; items are the ids, as text, of items with a window in the document.
     """
-    blocks = _blocks(_items(benchmark, item_col, item_text_col), block_words)
-    hits = [_hits(items, window, docs[text_col]).alias(f"__hits{k}") for k, items in enumerate(blocks)]
-    found = docs.select(docs[id_col], *hits)
-    if len(hits) == 1:
-        return found.select(id_col, "__hits0.*")
-    every = range(len(hits))
+    items = _items(benchmark, item_col, item_text_col)
+    if _is_one_block(items, block_words):
+        found = _hits(next(_blocks(items, block_words)), window, docs[text_col])
+        return docs.select(docs[id_col], found.alias("__hits")).select(id_col, "__hits.*")
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = durable(rows)  # row numbers stay as they are written, whatever is run again
+    found = rows.select("id", "row", _n_words(rows["text"]).alias("n_words")).join(
+        _hits_of_blocks(rows.select("row", "text"), items, window, block_words), "row", "left"
+    )
     return found.select(
-        id_col,
-        F.col("__hits0.n_words").alias("n_words"),
-        _united(F.concat(*[f"__hits{k}.spans" for k in every])).alias("spans"),
-        F.array_sort(F.array_distinct(F.concat(*[f"__hits{k}.items" for k in every]))).alias("items"),
+        F.col("id").alias(id_col),
+        "n_words",
+        F.coalesce("spans", F.array().cast("array<int>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
