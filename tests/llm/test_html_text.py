@@ -40,6 +40,34 @@ def test_page_without_article_element(rng):
     assert html_text.main_text(body) == "\n\n".join(["Title", long[0], long[1], "x"])
 
 
+@pytest.mark.parametrize("around", [("", ""), (BEFORE, AFTER)])
+@pytest.mark.parametrize("last", [1, 3])
+@pytest.mark.parametrize(
+    "form",
+    [
+        "<div id=content><div>{}</div><div>{}</div></div>",
+        "<div><section>{}</section></div><div><section>{}</section></div>",
+        "<main><article>{}</article><article>{}</article></main>",
+        "<article>{}</article><section>{}</section>",
+        "<article>{}</article><div class='ad'>Buy now</div><article>{}</article>",
+        "<main>{}</main><div>{}</div>",
+        "<table><tr><td>{}<td>{}</table>",
+    ],
+)
+def test_no_part_of_a_split_article_is_lost(rng, form, last, around):
+    parts = [[sentence(rng, rng.choice([20, 40, 80])) for _ in range(n)] for n in (7, last)]
+    html = around[0] + form.format(*["".join(f"<p>{t}</p>" for t in part) for part in parts]) + around[1]
+    assert html_text.main_text(f"<body>{html}</body>") == "\n\n".join(parts[0] + parts[1])
+
+
+def test_short_lines_outside_the_article_stay_out(rng):
+    long = [sentence(rng, 40) for _ in range(4)]
+    blocks = "".join(f"<p>{t}</p>" for t in long)
+    for form in ("<article>{}</article>", "<main>{}</main>", "<div><p>x</p>{}</div>"):
+        text = html_text.main_text(f"<body><div>Top</div>{form.format(blocks)}<div>Next</div></body>")
+        assert text.removeprefix("x\n\n") == "\n\n".join(long)
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [

@@ -2,12 +2,14 @@
 
 The standard library's parser streams events; each block (paragraph, heading, list item,
 cell and the like) becomes a line with its characters and the tags since the line before.
-A line's ratio is characters per tag, and 0 for page furniture. The ratios are smoothed
-with a Gaussian and split into two clusters by the threshold of least variance inside
-them. The lines of the upper cluster point out the content region: the article (or main)
-element that holds most of their characters, else the innermost container of several lines
-that does, else the page. All lines of that region but furniture are the text, short ones
-included.
+A line's ratio is characters per tag, and 0 for page furniture. The logarithms of the ratios,
+or what a Gaussian makes of them and their neighbours where that is more, are split into two
+clusters by the threshold of least variance inside them; as many zeros as there are lines
+stand for furniture, so that a page of text alone is not split. The lines of the upper cluster
+point out the content region: the innermost article (or main) element that holds all of them,
+else the innermost container of several lines that does, else the page. All lines of that
+region but furniture are the text, short ones included. So what is left out is furniture, and
+lines short for their page outside the smallest region of all the others.
 
 Furniture is told by element, by role, by hidden marks and by words in class and id.
 
@@ -67,7 +69,6 @@ WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 OPEN_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 
 SIGMA = 1.0
-MOST = 0.6
 
 
 def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -181,15 +182,11 @@ def main_text(html: str | None) -> str:
     usable = [k for k, line in enumerate(lines) if not line[3]]
     if not usable:
         return ""
-    ratios = np.array([0.0 if furniture else len(text) / max(1, tags) for text, tags, _, furniture in lines])
-    content = _upper_cluster(_smoothed(ratios))
+    ratios = np.log1p([0.0 if furniture else len(text) / max(1, tags) for text, tags, _, furniture in lines])
+    values = np.maximum(ratios, _smoothed(ratios))
+    content = _upper_cluster(np.concatenate([values, np.zeros(len(lines))]))
     seeds = [k for k in usable if content[k]] or usable
-    within: dict[int, int] = {}
-    for k in seeds:
-        for number in lines[k][2]:
-            within[number] = within.get(number, 0) + len(lines[k][0])
-    need = MOST * sum(len(lines[k][0]) for k in seeds)
-    holders = [number for number, size in within.items() if size >= need]
+    holders = set(lines[seeds[0]][2]).intersection(*[lines[k][2] for k in seeds])
     regions = [number for number in holders if parser.names[number] in REGIONS]
     # of nested regions the innermost, else the innermost container of several lines, else the page
     several = [n for n in holders if parser.names[n] in CONTAINERS and sum(n in lines[k][2] for k in usable) > 1]
