@@ -92,3 +92,26 @@ def test_signature_values_estimate_the_similarity(share):
         a, b = np.unique(np.concatenate([both, left])), np.unique(np.concatenate([both, right[: len(left)]]))
         agree.append(len(set(near_dedup._bands(a)) & set(near_dedup._bands(b))))
     assert min(agree) >= 1
+
+
+def test_small_linked_sets_always_share_a_key():
+    """3 of 4 shingles in common, where minimum and maximum are not independent: none is missed."""
+    numbers = near_dedup.np.random.default_rng(3)
+    for n in [4] * 12_000 + list(range(1, near_dedup.SMALL + 1)) * 20:
+        union = -(-n * 100 // near_dedup.PERCENT) if n != 4 else 4
+        union = union if 100 * n >= near_dedup.PERCENT * union else union - 1
+        whole = near_dedup.np.unique(numbers.integers(0, 2**63, max(union, n), dtype=near_dedup.np.uint64) * near_dedup.np.uint64(2))
+        part = numbers.permutation(whole)[: 3 if n == 4 else n]
+        keys = [{*near_dedup._bands(s), *near_dedup._first_shingles(s)} for s in (whole, near_dedup.np.sort(part))]
+        assert keys[0] & keys[1], (n, len(whole))
+
+
+def test_first_shingles_of_sets_that_differ_on_both_sides():
+    numbers = near_dedup.np.random.default_rng(4)
+    for _ in range(3000):
+        common, left, right = numbers.integers(1, 31), numbers.integers(0, 6), numbers.integers(0, 6)
+        if 100 * common < near_dedup.PERCENT * (common + left + right) or common + min(left, right) > near_dedup.SMALL:
+            continue
+        every = numbers.integers(0, 2**63, common + left + right, dtype=near_dedup.np.uint64)
+        a, b = near_dedup.np.sort(every[: common + left]), near_dedup.np.sort(near_dedup.np.delete(every, near_dedup.np.s_[common : common + left]))
+        assert {*near_dedup._first_shingles(a)} & {*near_dedup._first_shingles(b)}
