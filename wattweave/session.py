@@ -66,4 +66,18 @@ def durable(df: DataFrame, **options: str) -> DataFrame:
     """
     path = posixpath.join(shared_dir(df.sparkSession), uuid.uuid4().hex)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.durable_path = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``durable`` whose readers are all written themselves.
+
+    Call it only after every table computed from them is in the shared folder: a task that is
+    run again reads from there.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.durable_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
