@@ -1,0 +1,141 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from conftest_llm import DATA, needs_data, sentence
+from tokenizers import Tokenizer
+
+from wattweave.llm import alignment
+from wattweave.llm.alignment import ByteLevel, crossings, groups, report
+from wattweave.llm.bpe import byte_letters
+from wattweave.sources.views import table
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def sides():
+    plain = Tokenizer.from_file(A)
+    plain.encode_special_tokens = True
+    letters = {c: b for b, c in enumerate(byte_letters())}
+    pieces = sentencepiece.SentencePieceProcessor(model_file=B)
+
+    def first(text):
+        ids = plain.encode(" " + text, add_special_tokens=False).ids
+        return ids, [bytes(letters[c] for c in plain.id_to_token(i)) for i in ids]
+
+    def second(text):
+        ids = pieces.encode(text)
+        names = [pieces.id_to_piece(i) for i in ids]
+        return ids, [bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids, names)]
+
+    return first, second
+
+
+def brute(rows, sides):
+    """Token by token: walk both sides, close a group where both end."""
+    found = []
+    for doc, text in rows:
+        gs = []
+        if text:
+            (ids_a, raw_a), (ids_b, raw_b) = (side(text) for side in sides)
+            if b"".join(raw_a) == b"".join(raw_b) == (" " + text).encode():
+                i = j = at_a = at_b = 0
+                own_a, own_b = [], []
+                while i < len(ids_a) or j < len(ids_b):
+                    if at_a <= at_b:
+                        own_a.append(ids_a[i])
+                        at_a += len(raw_a[i])
+                        i += 1
+                    else:
+                        own_b.append(ids_b[j])
+                        at_b += len(raw_b[j])
+                        j += 1
+                    if at_a == at_b:
+                        gs.append((own_a, own_b))
+                        own_a, own_b = [], []
+        found.append((doc, gs))
+    links = [Counter((a, b) for own_a, own_b in gs for a in own_a for b in own_b) for _, gs in found]
+    counts = Counter(pair for each in links for pair in each)
+    highest = Counter()
+    for (a, _), n in counts.items():
+        highest[a] = max(highest[a], n)
+    out = []
+    for (doc, gs), each in zip(found, links):
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in gs)
+        best = sum(m for pair, m in each.items() if counts[pair] == highest[pair[0]])
+        sums = sum(m * counts[pair] for pair, m in each.items())
+        n_a, n_b = sum(len(a) for a, _ in gs), sum(len(b) for _, b in gs)
+        out.append((doc, n_a, n_b, len(gs), sum(each.values()), best, sums, hashlib.sha256(text.encode()).hexdigest() if gs else ""))
+    return sorted(out, key=str)
+
+
+def results(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def odd_rows():
+    rng = random.Random(2)
+    signs = ["é", "ß", "中文", "😀", " ", "  ", "\n", "\t", "1", "23", "...", "<|endoftext|>", "<s>", "▁", "word", " the", "Ünï", "\u0000", "ﬁ", "­", "אב"]
+    rows = [(k, "".join(rng.choices(signs, k=rng.randint(1, 40)))) for k in range(150)]
+    rows += [(200 + k, sentence(rng, 60)) for k in range(40)]
+    rows += [(300, None), (301, ""), (302, " "), (303, "a▁b"), (304, "a" * 3000), (305, " " * 3000 + "x"), (306, "<|endoftext|>"), (307, "\n\n\n")]
+    rows += [(400, rows[3][1]), (3, rows[3][1]), (None, rows[5][1]), (308, "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(400)))]
+    rows += [(309, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000)))]
+    return rows
+
+
+@pytest.mark.parametrize("heavy", [alignment.HEAVY, 40, 0])
+def test_equals_brute_force(docs, sides, heavy):
+    rows = odd_rows()
+    assert results(report(docs(rows), A, B, heavy=heavy)) == brute(rows, sides)
+
+
+def test_small_pieces_and_batches_give_the_same(sides):
+    texts = [text for _, text in odd_rows()]
+    whole, small = alignment.Aligner(A, B), alignment.Aligner(A, B, piece=3)
+    one, other = whole.align(texts), small.align(texts)
+    assert whole.written(one) == small.written(other)
+    for x, y in zip(whole.links(one), small.links(other)):
+        assert x.tolist() == y.tolist()
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
+def test_merge_path_finds_every_common_end(piece):
+    rng = np.random.default_rng(piece)
+    for _ in range(200):
+        total = int(rng.integers(1, 60))
+        a = np.append(np.flatnonzero(rng.random(total) < rng.random()), total)
+        b = np.append(np.flatnonzero(rng.random(total) < rng.random()), total)
+        until_a, until_b = groups(a, b, piece)
+        common = np.intersect1d(a, b)
+        assert a[until_a - 1].tolist() == b[until_b - 1].tolist() == common.tolist()
+        cut_a, cut_b = crossings(a, b, piece)
+        assert np.diff(cut_a + cut_b).max() <= piece and (np.diff(cut_a) >= 0).all() and (np.diff(cut_b) >= 0).all()
+
+
+def test_the_faster_library_agrees_on_all_characters():
+    side = ByteLevel(A)
+    assert side.fast is not None
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 40_000):
+        texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1 {chr(c)}\n" for c in points[at : at + 40_000]]
+        plain = [e.ids for e in side.plain.encode_batch_fast(texts, add_special_tokens=False)]
+        assert side.encode(texts) == plain
+
+
+def test_clashing_columns_and_empty_table(clashing_docs, docs, sides):
+    rows = [(1, "Some text here"), (2, None), (3, "Some text there")]
+    assert results(report(clashing_docs(rows), A, B)) == brute(rows, sides)
+    assert results(report(docs([]), A, B)) == []
+
+
+@needs_data()
+def test_whole_table(spark, sides):
+    documents = table(spark, DATA, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    assert results(report(documents, A, B)) == brute(rows, sides)

@@ -20,4 +20,4 @@ def test_runs(spark, name):
 
 def test_entry_has_the_queries():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
