@@ -110,6 +110,36 @@ def test_different_values_for_one_time_raise(spark):
     assert joins.add_target_lags_by_join(clash).count() == 2
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_lags_by_counts_equal_joins_on_gappy_and_repeated_targets(spark, seed):
+    rows = spark.range(700).select(
+        F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(4))).cast("int").alias("client_id"),
+        F.when(
+            F.col("id") % 60 != 1,
+            F.to_timestamp_ntz(F.lit("2024-03-01 06:00:00"))
+            + F.make_dt_interval(F.pmod(F.xxhash64("id", F.lit(seed + 10)), F.lit(150)).cast("int"), (F.col("id") % 2 * 6).cast("int")),
+        ).alias("datetime"),
+        F.when(F.col("id") % 9 != 0, F.pmod(F.xxhash64("id", F.lit(seed + 20)), F.lit(3))).cast("float").alias("target"),
+        F.col("id").alias("sin(hour)"),
+    )
+    one, many = joins.add_target_lags_by_counts(rows), joins.add_target_lags_by_join(rows)
+    many = many.select(one.columns)
+    assert one.columns == [*rows.columns, *[f"target_{d}_days_ago" for d in range(2, 8)]]
+    assert one.count() == many.count() > 700
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_lags_by_counts_take_one_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = daily(spark, [*BASE, (1, 3, 30.0), (1, 1, 11.0)])
+        plan = joins.add_target_lags_by_counts(rows)._jdf.queryExecution().executedPlan().toString()
+        many = joins.add_target_lags_by_join(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and many.count("SortMergeJoin") == 6
+
+
 def test_hot_join_key_is_split(spark):
     """A third of the rows on one key: AQE splits that key's partition and the result is whole."""
     settings = {

@@ -68,6 +68,38 @@ def test_curve_has_every_round(spark, fitted):
     assert [row[0] for row in curve] == [1, 2, 3, 4]
 
 
+def test_the_first_trees_are_the_model_of_a_fit_that_stopped_there(spark, table, tmp_path):
+    frame = models._plain_names(models.model_frame(table))
+    train = frame.filter("NOT is_test")
+    encoder = models.Pipeline(stages=models.feature_stages(frame)).fit(train)
+    encoded = encoder.transform(frame)
+    estimator = models.Parameters(rounds=7, options={"maxDepth": 3}).estimator()
+    whole = estimator.fit(encoder.transform(train))
+    for rounds in (1, 3, 7, 20):
+        shorter = models.first_trees(whole, rounds)
+        again = estimator.copy({estimator.maxIter: min(rounds, 7)}).fit(encoder.transform(train))
+        assert shorter.getNumTrees == again.getNumTrees == min(rounds, 7)
+        both = shorter.transform(encoded).select("prediction").collect(), again.transform(encoded).select("prediction").collect()
+        assert both[0] == both[1]
+        assert shorter.featureImportances.toArray().tolist() == pytest.approx(
+            again.featureImportances.toArray()[: shorter.featureImportances.size].tolist()
+        )
+    short = models.first_trees(whole, 2)
+    models.save_model(models.PipelineModel([*encoder.stages, short]), str(tmp_path / "short"))
+    loaded = models.load_model(str(tmp_path / "short"))
+    assert loaded.stages[-1].getNumTrees == 2
+    assert models.predict(loaded, frame).select("prediction").collect() == short.transform(encoded).select("prediction").collect()
+
+
+def test_each_model_is_fitted_once(table, monkeypatch):
+    fits, inner = [], models.GBTRegressor.fit
+    monkeypatch.setattr(models.GBTRegressor, "fit", lambda self, *args: (fits.append(1), inner(self, *args))[1])
+    frame = models.model_frame(table).withColumn("target", F.when(F.col("is_test"), F.rand(3) * 1000).otherwise(F.col("target")))
+    model, curve = models.fit_with_curve(frame, models.Parameters(rounds=6, options={"maxDepth": 3}))
+    best = min(curve, key=lambda row: row[2])[0]
+    assert len(fits) == 1 and len(curve) == 6 and model.stages[-1].getNumTrees == best
+
+
 def test_save_load(spark, fitted, tmp_path):
     frame, model, _ = fitted
     path = models.model_path(str(tmp_path), datetime.date(2024, 1, 31), "consumer", False)

@@ -107,7 +107,7 @@ def test_segment_keeps_ids(sources, table):
 
 def test_lag_forms_agree(sources):
     many = training_table(sources, noise=False, lags="join").cache()
-    for lags in ("before", "after"):
+    for lags in ("before", "after", "counts"):
         one = training_table(sources, noise=False, lags=lags).cache()
         assert one.count() == many.count() and one.exceptAll(many).count() == 0
 
@@ -131,6 +131,8 @@ def test_several_blocks_per_hour_fan_out(sources):
     many = training_table(doubled, noise=False, lag_days=2, lags="join").cache()
     assert one.count() == many.count() > training_table(sources, noise=False, lag_days=2).count()
     assert one.distinct().exceptAll(many.distinct()).count() == 0
+    counted = training_table(doubled, noise=False, lag_days=2)
+    assert counted.count() == many.count() and counted.exceptAll(many).count() == 0
 
 
 def test_a_constant_block_is_an_error(sources):

@@ -7,7 +7,10 @@ otherwise shuffles, splitting the partitions of hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import mul
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import day_of_epoch, micros_of_day, shift_days
@@ -142,3 +145,42 @@ def add_target_lags_by_join(
     return df
 
 
+
+
+def add_target_lags_by_counts(
+    df: DataFrame,
+    entity: str = "client_id",
+    ts: str = "datetime",
+    target: str = "target",
+    lag_days: int = LAG_DAYS,
+) -> DataFrame:
+    """As :func:`add_target_lags_by_join`, repeats and different values included, with one join for all lags.
+
+    Rows are first reduced to a multiset: for each (entity, time) the different values with
+    their counts. One window over (entity, time of day) then puts the multisets of all lags beside a time,
+    each from a frame of exactly one day number, and one join brings them to the rows. A
+    row is repeated for every combination of values, as often as the product of their
+    counts; a lag without rows gives null. A multiset has one value as a rule, so that the
+    joined table has one short row per time and entity.
+    """
+    names = lag_names(target, lag_days)
+    key, at = quoted(entity), quoted(ts)
+    known = df.filter(key.isNotNull() & at.isNotNull())
+    counted = known.groupBy(key.alias("__entity"), at.alias("__at"), quoted(target).alias("__value")).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    values = counted.groupBy("__entity", "__at").agg(F.collect_list(F.struct("__value", "__n")).alias("__values"))
+    days = values.withColumns({"__day": day_of_epoch(F.col("__at")), "__time": micros_of_day(F.col("__at"))})
+
+    def at_lag(d: int) -> Column:
+        # the rows of a frame are one at most
+        window = Window.partitionBy("__entity", "__time").orderBy("__day").rangeBetween(-d, -d)
+        return F.first("__values").over(window)
+
+    lags = days.select("__entity", "__at", *[at_lag(d).alias(f"__lag_{d}") for d in names])
+    joined = df.join(lags, (key == F.col("__entity")) & (at == F.col("__at")), "left")
+    for d in names:
+        joined = joined.withColumn(f"__one_{d}", F.explode_outer(f"__lag_{d}"))
+    copies = reduce(mul, [F.coalesce(f"__one_{d}.__n", F.lit(1)) for d in names], F.lit(1).cast("long"))
+    found = [F.col(f"__one_{d}.__value").alias(name) for d, name in names.items()]
+    return repeat_rows(joined.select(*[quoted(c) for c in df.columns], *found, copies.alias("__copies")), F.col("__copies"))

@@ -78,8 +78,14 @@ def month_roles(df: DataFrame, date: str = "date", train_months: int = 3, test_m
     next ``test_months`` months. Folds whose train or test months hold no rows are left
     out. Only distinct months are joined, never rows.
     """
+    number = month_number(quoted(date)).alias("month_number")
+    present = df.select(number).filter(F.col("month_number").isNotNull()).distinct()
+    return roles_of_months(present, train_months, test_months)
+
+
+def roles_of_months(present: DataFrame, train_months: int = 3, test_months: int = 1) -> DataFrame:
+    """:func:`month_roles` of the distinct month numbers ``present``."""
     month = F.col("month_number")
-    present = df.select(month_number(quoted(date)).alias("month_number")).filter(month.isNotNull()).distinct()
     folds = present.select(month.alias("fold"))
     fold = F.col("fold")
 

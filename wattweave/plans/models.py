@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -98,8 +98,8 @@ def fit_with_curve(
     """Fitted model and (round, train error, test error) of every boosting round.
 
     Of the boosting rounds, those after the lowest mean absolute error on the test rows
-    are given up: rounds depend only on those before, so the trees are fitted again up to
-    that round. Only the errors per round come to the driver.
+    are given up: rounds depend only on those before, so the model of the first trees is the
+    one that a fit up to that round would give. Only the errors per round come to the driver.
     """
     frame = _plain_names(frame)
     train_rows = frame.filter(~F.col(IS_TEST))
@@ -117,12 +117,26 @@ def fit_with_curve(
         best = min(curve, key=lambda row: row[2])[0] if curve else estimator.getMaxIter()
         if curve and best == estimator.getMaxIter() > 1:
             warnings.warn(f"the last of {best} rounds has the lowest test error; allow more rounds", stacklevel=2)
-        if best < estimator.getMaxIter():
-            fitted = estimator.copy({estimator.maxIter: best}).fit(train)
+        fitted = first_trees(fitted, best)
     encoded.unpersist()
     return PipelineModel([*encoder.stages, fitted]), curve
 
 
+def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model after the first ``rounds`` rounds of boosting, without another fit."""
+    if rounds >= model.getNumTrees:
+        return model
+    spark = SparkSession.active()
+    gateway, ml = spark.sparkContext._gateway, spark._jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ml.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for k in range(rounds):
+        trees[k], weights[k] = model._java_obj.trees()[k], model.treeWeights[k]
+    shorter = GBTRegressionModel(ml.GBTRegressionModel(model.uid, trees, weights))
+    shorter._resetUid(model.uid)
+    return model._copyValues(shorter)
+
+
 def _errors_by_round(trees, train: DataFrame, test: DataFrame) -> list[tuple[int, float, float]]:
     if test.isEmpty():
         return []
@@ -276,14 +290,16 @@ def learning_curve(frame: DataFrame, parameters: Parameters = Parameters()) -> D
 def sample_candidates(
     space: dict[str, list], n: int, seed: int = 42, objectives: tuple[str, ...] = ("l2",)
 ) -> dict[str, Parameters]:
-    """``n`` seeded draws from lists of estimator options."""
+    """``n`` seeded draws from lists of estimator options; ``rounds`` may be one of them."""
     draw = random.Random(seed)
-    return {
-        f"candidate {i}": Parameters(
-            draw.choice(objectives), seed, {name: draw.choice(list(values)) for name, values in space.items()}
-        )
-        for i in range(1, n + 1)
-    }
+
+    def candidate() -> Parameters:
+        objective = draw.choice(objectives)
+        options = {name: draw.choice(list(values)) for name, values in space.items()}
+        rounds = {"rounds": options.pop("rounds")} if "rounds" in options else {}
+        return Parameters(objective, seed, options=options, **rounds)
+
+    return {f"candidate {i}": candidate() for i in range(1, n + 1)}
 
 
 def candidate_scores(frame: DataFrame, candidates: dict[str, Parameters]) -> DataFrame:

@@ -20,7 +20,13 @@ from wattweave.functions.columns import (
     select_names,
 )
 from wattweave.operators.aggregates import has_null_column
-from wattweave.operators.joins import add_entity_id, add_target_lags, add_target_lags_by_join, suffix_join
+from wattweave.operators.joins import (
+    add_entity_id,
+    add_target_lags,
+    add_target_lags_by_counts,
+    add_target_lags_by_join,
+    suffix_join,
+)
 from wattweave.operators.ordering import repeat_rows
 from wattweave.operators.splits import between_times, interval_values
 from wattweave.operators.windows import DAY, WEEK, add_monthly_history, rolling_mean, rolling_mean_by_frame
@@ -199,16 +205,17 @@ def training_table(
     noise: bool = True,
     seed: int = 42,
     lag_days: int = LAG_DAYS,
-    lags: str = "join",
+    lags: str = "counts",
     holidays=None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The feature table of the given interval (default: the last train + test months).
 
-    ``lags`` says how target lags are found. "join" takes one self-join per lag and is right
-    in all cases. With one target per client and time, "after" (the joins) gives the same from
-    one window; if no joined table repeats a key either, so does "before", while rows are
-    narrow. Both raise where their condition does not hold.
+    ``lags`` says how target lags are found. "counts" is right in all cases and takes one
+    window and one join for all lags; "join" gives the same with one self-join per lag. With one
+    target per client and time, "after" (the joins) needs the window only; if no joined table
+    repeats a key either, so does "before", while rows are narrow. These two raise where their
+    condition does not hold.
 
     With ``model_type`` only that segment is kept, after client ids are assigned and
     before features are built. Rows with any null are dropped.
@@ -220,15 +227,16 @@ def training_table(
         start, end = interval_values(sources.metering, "datetime", train_months, test_months)
     sources = sources.between(start, end)
     facts = join_facts(sources)
-    if lags not in ("join", "after", "before"):
-        raise ValueError(f"lags must be 'join', 'after' or 'before', got {lags!r}")
+    if lags not in ("counts", "join", "after", "before"):
+        raise ValueError(f"lags must be 'counts', 'join', 'after' or 'before', got {lags!r}")
     if lags == "before" and facts.repeats:
         raise ValueError(f"lags='before' needs tables without repeated keys; rows per key: {facts.most}")
     data = join_sources(sources, facts, lag_days if lags == "before" else None, broadcast_bytes)
     if model_type is not None:
         data = segment(data, model_type, is_business)
     if lags != "before":
-        data = {"after": add_target_lags, "join": add_target_lags_by_join}[lags](data, lag_days=lag_days)
+        add = {"after": add_target_lags, "counts": add_target_lags_by_counts, "join": add_target_lags_by_join}[lags]
+        data = add(data, lag_days=lag_days)
     data = drop_any_null(add_features(data, holidays))
     order = [c for c in TRAINING_TABLE.names if c in data.columns]
     if noise:

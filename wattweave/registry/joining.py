@@ -158,6 +158,29 @@ def target_lags(spark, folder):
     return joins.add_target_lags(daily)
 
 
+@query(
+    "target_lags_repeats",
+    """
+    WITH read AS (
+        SELECT (o_custkey // 40)::BIGINT AS client_id, o_orderdate AS datetime, round(o_totalprice / 100000) AS target FROM orders
+    ) SELECT d.*"""
+    + "".join(f", l{n}.target AS target_{n}_days_ago" for n in range(2, 8))
+    + " FROM read d"
+    + "".join(
+        f" LEFT JOIN read l{n} ON l{n}.client_id = d.client_id AND l{n}.datetime + INTERVAL {n} DAY = d.datetime"
+        for n in range(2, 8)
+    ),
+)
+def target_lags_repeats(spark, folder):
+    """Lags of groups of forty customers, with days missing and several orders, equal or not, on one day."""
+    read = table(spark, folder, "orders").select(
+        F.floor(F.col("o_custkey") / 40).alias("client_id"),
+        F.col("o_orderdate").alias("datetime"),
+        F.round(F.col("o_totalprice") / 100000).alias("target"),
+    )
+    return joins.add_target_lags_by_counts(read)
+
+
 @query(
     "sql_left_join",
     """
