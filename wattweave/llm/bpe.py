@@ -29,7 +29,7 @@ WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+"
 
 #: Words whose encodings a task keeps; beyond it the table starts anew (results stay the same).
-WORD_TABLE = 150_000
+WORD_TABLE = 500_000
 
 
 def byte_letters() -> list[str]:

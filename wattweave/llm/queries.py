@@ -24,6 +24,9 @@ from wattweave.llm import (
 )
 from wattweave.sources.views import table
 
+#: Folder of the vocabulary files.
+TOKENIZERS = public_tokenizers.path("").rstrip("/")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
