@@ -4,7 +4,7 @@ The distinct words of a batch are laid out as one chain of symbols. An index map
 adjacent pair to the positions where it occurs, and a heap holds the ranks of the pairs
 that occur at all (the active ranks). The lowest active rank is applied at all its
 positions at once; each merge touches only the lists of the two neighbouring pairs. Words
-met before are taken from a bounded per-task table, so the cost follows new words.
+met before are taken from a bounded table of the worker, so the cost follows new words.
 
 Nulls and empty texts have no tokens: zero tokens, empty id list, empty decoded text.
 Very long texts are encoded whole. Equal rows give equal results; each row is kept.
@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
+import types
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -28,7 +30,7 @@ from wattweave.llm.texts import per_text
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+"
 
-#: Words whose encodings a task keeps; beyond it the table starts anew (results stay the same).
+#: Words whose encodings a worker keeps; beyond it the table starts anew (results stay the same).
 WORD_TABLE = 500_000
 
 
@@ -166,6 +168,18 @@ class _WordTable:
         return [known[w] for w in words]
 
 
+def _kept_table(path: str) -> _WordTable:
+    """The word table of this Python worker: Spark gives one worker many tasks, and words come again in them.
+
+    Functions are unpickled for every task, so the table hangs on a module of its own.
+    """
+    kept = vars(sys.modules.setdefault("wattweave_worker_tables", types.ModuleType("wattweave_worker_tables")))
+    key = f"bpe {WORD_TABLE} {path}"
+    if key not in kept:
+        kept[key] = _WordTable(WordBpe(path))
+    return kept[key]
+
+
 def _chunks(values: list, sizes: Iterable[int], limit: int) -> Iterator[list]:
     """Runs of values whose sizes add up to about the limit."""
     run, total = [], 0
@@ -187,13 +201,12 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Per document: the id, n_tokens, ids_sha256 and decoded_sha256 of its whole text."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(path)
-        table = _WordTable(bpe)
+        table = _kept_table(path)
         for batch in batches:
             rows = []
             texts = [t if isinstance(t, str) else "" for t in batch]
             for chunk in _chunks(texts, map(len, texts), 2_000_000):
-                split = [bpe.split(t) for t in chunk]
+                split = [table.bpe.split(t) for t in chunk]
                 found = iter(table.of([w for words in split for w in words]))
                 for words in split:
                     tokens = [next(found) for _ in words]
