@@ -17,7 +17,7 @@ from wattweave.session import shared_dir
 from wattweave.sources import sinks
 from wattweave.sources.tables import read_csv
 from wattweave.sources.views import table
-from wattweave.streaming import ingest
+from wattweave.streaming import compaction, ingest
 
 _PROFILED = [("c_custkey", "bigint"), ("c_mktsegment", "string"), ("o_orderkey", "bigint"), ("o_totalprice", "double")]
 
@@ -171,8 +171,8 @@ def distinct_periods(spark, folder):
     return periods.withColumn("first_day", first)
 
 
-def _messages(customers):
-    """Customers as client records in JSON, as they would arrive on a topic."""
+def _messages(customers, *others):
+    """Customers as client records in JSON, as they would arrive on a topic, and other columns beside them."""
     day = F.date_add(F.lit(datetime.date(2021, 9, 1)), F.pmod("c_custkey", F.lit(30)).cast("int"))
     return customers.select(
         F.to_json(
@@ -185,7 +185,8 @@ def _messages(customers):
                 day.cast("string").alias("date"),
                 (F.col("c_custkey") % 30).alias("data_block_id"),
             )
-        ).alias("value")
+        ).alias("value"),
+        *others,
     )
 
 
@@ -240,6 +241,63 @@ def client_ingest_by_day(spark, folder):
     return _shown(sinks.read_table(spark, path)).drop("batch")
 
 
+def _damaged(customers):
+    """Client records of which a part are no client rows: cut off, without a day, with a bad one, too large, or null."""
+    kind = F.pmod("c_custkey", F.lit(20))
+    text = F.col("value")
+    damaged = (
+        F.when(kind == 3, F.substring(text, 1, 30))
+        .when(kind == 7, F.regexp_replace(text, '"date":"[^"]*"', '"date":null'))
+        .when(kind == 11, F.regexp_replace(text, '"date":"[^"]*"', '"date":"2021-13-45"'))
+        .when(kind == 13, F.regexp_replace(text, '"eic_count":', '"eic_count":9000000000'))
+        .when(kind == 17, F.lit(None))
+        .otherwise(text)
+    )
+    return _messages(customers, "c_custkey").select(damaged.alias("value"))
+
+
+@query(
+    "client_ingest_rejected",
+    f"""
+    SELECT c_custkey % 20 IN (3, 7, 11, 13, 17) AS rejected,
+           CASE c_custkey % 20 WHEN 3 THEN 'malformed' WHEN 7 THEN 'no date' WHEN 11 THEN 'bad date'
+                WHEN 13 THEN 'out of range: eic_count' WHEN 17 THEN 'empty' END AS reason,
+           CASE WHEN c_custkey % 20 IN (3, 7, 11, 13, 17) THEN NULL ELSE (c_custkey % 500)::INTEGER END AS eic_count,
+           CASE WHEN c_custkey % 20 IN (3, 7, 11, 13, 17) THEN NULL
+                ELSE (DATE '2021-09-01' + (c_custkey % 30)::INTEGER)::DATE END AS date
+    FROM customer
+    """,
+)
+def client_ingest_rejected(spark, folder):
+    """Stream records of which a quarter are bad, in many batches, run twice; rows of both tables that come out."""
+    base = posixpath.join(shared_dir(spark), f"clients-{uuid.uuid4().hex}")
+    inbox, path, rejects, progress = (posixpath.join(base, name) for name in ("inbox", "table", "rejects", "progress"))
+    _damaged(table(spark, folder, "customer")).repartition(3).write.parquet(inbox)
+    for _ in range(2):
+        arriving = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(inbox)
+        ingest.stream_clients_with_rejects(arriving, _counties(spark, folder), path, rejects, progress).awaitTermination()
+    good = sinks.read_table(spark, path).select(F.lit(False).alias("rejected"), "eic_count", "date")
+    bad = sinks.read_table(spark, rejects).select(F.lit(True).alias("rejected"), "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query("client_ingest_compacted", _CLIENTS_SQL)
+def client_ingest_compacted(spark, folder):
+    """Stream the records in batches, merge the small files between two of them and at the end, and read the table."""
+    base = posixpath.join(shared_dir(spark), f"clients-{uuid.uuid4().hex}")
+    inbox, progress = posixpath.join(base, "inbox"), posixpath.join(base, "progress")
+    customers = table(spark, folder, "customer")
+    for half in (0, 1):
+        messages = _messages(customers.filter(F.pmod(F.xxhash64("c_custkey"), F.lit(2)) == half))
+        messages.repartition(3).write.mode("append").text(inbox)
+        arriving = spark.readStream.option("maxFilesPerTrigger", 1).text(inbox)
+        run = ingest.stream_clients_by_day(arriving, _counties(spark, folder), compaction.arrived_path(base), progress)
+        run.awaitTermination()
+        compaction.compact(spark, base, progress)
+    compaction.remove_replaced(spark, base)
+    return _shown(compaction.read_compacted(spark, base))
+
+
 @query("csv_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def csv_roundtrip(spark, folder):
     """Customers written as CSV in two column orders and read back by name."""
