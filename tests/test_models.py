@@ -110,6 +110,26 @@ def test_save_load(spark, fitted, tmp_path):
     assert models.test_error(again, frame) == models.test_error(model, frame)
 
 
+def test_a_broken_save_leaves_the_model_before(spark, fitted, tmp_path, monkeypatch):
+    _, model, _ = fitted
+    path = str(tmp_path / "model")
+    models.save_model(model, path)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    other = models.PipelineModel(model.stages[:-1])
+    with monkeypatch.context() as patch:
+        patch.setattr(models.versions, "publish", dies)
+        with pytest.raises(RuntimeError):
+            models.save_model(other, path)
+    assert len(models.load_model(path).stages) == len(model.stages)
+    for _ in range(3):
+        models.save_model(other, path, keep=2)
+    assert len(models.load_model(path).stages) == len(other.stages)
+    assert models.versions.numbers(spark, path) == [3, 4]
+
+
 def test_segments(table):
     fitted = models.train_segments(table, {"producer": SMALL, "consumer": SMALL}, by_business=False)
     scores = models.segment_scores(table, fitted).collect()

@@ -12,9 +12,7 @@ from itertools import accumulate
 from operator import or_
 from multiprocessing.pool import ThreadPool
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
@@ -27,6 +25,7 @@ from wattweave.operators.aggregates import below_reference, best_candidate, cumu
 from wattweave.operators.splits import first_folds, month_number, month_roles, time_split, year_and_month
 from wattweave.plans.training_table import Sources, scoring_table
 from wattweave.schemas import MODEL_TYPES, NON_FEATURE_COLUMNS
+from wattweave.sources import versions
 from wattweave.sources.sinks import day_path
 
 LABEL, PREDICTION, IS_TEST = "target", "prediction", "is_test"
@@ -331,8 +330,17 @@ def model_path(base: str, run_date: datetime.date, model_type: str, is_business:
     return day_path(base, run_date, name)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel, path: str, keep: int = 2) -> None:
+    """Save the model as a new version below ``path``, which readers see once it is whole.
+
+    A save that breaks off leaves the model before in place. The newest ``keep`` versions
+    stay, so that a job that is loading one can finish.
+    """
+    spark = SparkSession.active()
+    version = (versions.published(spark, path) or 0) + 1
+    model.write().overwrite().save(versions.version_path(path, version))
+    versions.publish(spark, path, version)
+    versions.prune(spark, path, keep)
 
 
 def save_segments(fitted: dict[tuple[str, bool], PipelineModel], base: str, run_date: datetime.date) -> None:
@@ -361,13 +369,9 @@ def score_segments(table: DataFrame, base: str, run_date: datetime.date) -> Data
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """The saved model, or None if there is nothing at ``path``."""
-    try:
-        return PipelineModel.load(path)
-    except (Py4JJavaError, PySparkException) as error:
-        if "Input path does not exist" in str(error) or "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+    """The newest model that was saved whole, or None if there is none at ``path``."""
+    version = versions.published(SparkSession.active(), path)
+    return None if version is None else PipelineModel.load(versions.version_path(path, version))
 
 
 def score_interval(
