@@ -43,6 +43,24 @@ def test_describe_is_exact(spark, accuracy, ranges):
     assert got["empty"]["count"] == 0 and got["empty"]["p50"] is None
 
 
+@pytest.mark.parametrize("wrong", [(-90.0, -80.0), (95.0, 99.0), (1e6, 1e6), (-1e6, -1e6), (20.0, 20.5), (50.0, 50.2)])
+def test_quantiles_from_a_wrong_interval(spark, monkeypatch, wrong):
+    """The first interval lies anywhere but around the quantile, or holds one of the two ranks."""
+    data = [float(v) for v in range(-100, 101)] + [50.0] * 7
+    df = spark.createDataFrame([(v,) for v in data], "x double").repartition(5)
+    sketch, asked = aggregates._sketch, []
+
+    def first_wrong(df, slices, accuracy):
+        asked.append(len(slices))
+        return [wrong] * len(slices) if len(asked) == 1 else sketch(df, slices, accuracy)
+
+    monkeypatch.setattr(aggregates, "_sketch", first_wrong)
+    got = aggregates.describe(df, quantiles=(0.0, 0.1, 0.5, 0.77, 1.0)).first()
+    want = pd.Series(data).quantile([0.0, 0.1, 0.5, 0.77, 1.0]).tolist()
+    assert [got[n] for n in ("p0", "p10", "p50", "p77", "p100")] == pytest.approx(want, rel=1e-12)
+    assert len(asked) > 1
+
+
 def test_correlation_ignores_incomplete_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, None), (4.0, 8.0)], "a double, b double")
     assert aggregates.correlations(df, ["a", "b"]).first().correlation == pytest.approx(1)

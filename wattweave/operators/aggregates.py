@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,6 +72,93 @@ def has_null_column(df: DataFrame) -> Column:
     return table_profile(df).agg(F.coalesce(F.bool_or("all_null"), F.lit(False))).scalar()
 
 
+@dataclass
+class _Slice:
+    """An interval of a column's values that is to hold the ranks around a quantile."""
+
+    column: str
+    quantile: float
+    count: int  # values in the column
+    least: float | None = None  # values outside (least, most) are known not to hold the ranks
+    most: float | None = None
+    before: int = 0  # values up to ``least``
+    among: int = 0  # values in (least, most)
+    low: float = 0.0
+    high: float = 0.0
+    below: int = 0  # values below ``low``
+
+    def ranks(self) -> tuple[int, int]:
+        """The first and last wanted rank, from 1; they are the same or neighbours."""
+        place = (self.count - 1) * self.quantile
+        return math.floor(place) + 1, math.ceil(place) + 1
+
+    def bracket(self) -> Column:
+        value, held = quoted(self.column).cast("double"), quoted(self.column).isNotNull()
+        if self.least is not None:
+            held &= value > F.lit(self.least)
+        if self.most is not None:
+            held &= value < F.lit(self.most)
+        return held
+
+    def holds(self) -> Column:
+        return quoted(self.column).cast("double").between(self.low, self.high)
+
+
+def _sketch(df: DataFrame, slices: list[_Slice], accuracy: int) -> list[tuple[float, float]]:
+    """For every slice, an interval that should hold its ranks, sketched from the values of its bracket."""
+    margin = 2 / accuracy
+    wanted = []
+    for k, part in enumerate(slices):
+        first, last = part.ranks()
+        low, high = (first - 1 - part.before) / part.among - margin, (last - part.before) / part.among + margin
+        edges = [min(max(edge, 0.0), 1.0) for edge in (low, high)]
+        value = F.when(part.bracket(), quoted(part.column).cast("double"))
+        wanted.append(F.percentile_approx(value, edges, accuracy).alias(f"b{k}"))
+    return [tuple(edges) for edges in df.agg(*wanted).first()]
+
+
+def _rank_slices(df: DataFrame, counts: dict[str, int], quantiles: tuple[float, ...], accuracy: int) -> list[_Slice]:
+    """An interval with the wanted ranks in it for every quantile of every column with values.
+
+    Ranks outside an interval narrow the bracket to the side that holds them, which leaves out
+    at least the interval itself; so the search ends, whatever the sketches say. Usually one
+    sketch and one count of all columns do.
+    """
+    slices = [_Slice(c, q, n, among=n) for c, n in counts.items() if n for q in quantiles]
+    open_, unsketched = slices, slices
+    while open_:
+        if unsketched:
+            for part, edges in zip(unsketched, _sketch(df, unsketched, accuracy)):
+                part.low, part.high = edges
+        seen = []
+        for k, part in enumerate(open_):
+            value, low, high = quoted(part.column).cast("double"), F.lit(part.low), F.lit(part.high)
+            under, over = F.when(value < low, value), F.when(value > high, value)
+            cells = [F.count(under), F.max(under), F.count(over), F.min(over)]
+            seen.append(F.struct(*[cell.alias(name) for cell, name in zip(cells, ("below", "prior", "above", "next"))]).alias(f"c{k}"))
+        found = df.agg(*seen).first()
+        missed, unsketched = [], []
+        for k, part in enumerate(open_):
+            below, prior, above, following = found[f"c{k}"]
+            part.below, upto = below, part.count - above
+            first, last = part.ranks()
+            if below < first and last <= upto:
+                continue
+            missed.append(part)
+            if last <= below:
+                part.most, part.among = part.low, below - part.before
+                unsketched.append(part)
+            elif first > upto:
+                part.least, part.before, part.among = part.high, upto, part.before + part.among - upto
+                unsketched.append(part)
+            elif first <= below:  # the first rank is the value just before the interval
+                part.low = prior
+            else:
+                part.high = following
+        open_ = missed
+    return slices
+
+
 def describe(
     df: DataFrame,
     columns: list[str] | None = None,
@@ -79,24 +168,13 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, exact quantiles (linear interpolation) and max per numeric column.
 
-    A first pass takes a mergeable quantile sketch, whose error bound gives for every
-    quantile a narrow interval of values that holds it. Only values in these intervals
-    are counted and put in order, so no pass shuffles or sorts whole columns.
+    A mergeable quantile sketch gives for every quantile a narrow interval of values that
+    should hold it, and a count shows whether it does; if not, the values on the side of the
+    missed ranks are sketched again (``_rank_slices``). Only values in the intervals found
+    are put in order, so no pass shuffles or sorts whole columns.
     ``options`` go to ``running_total``.
     """
     columns = [c for c, kind in df.dtypes if kind in NUMERIC] if columns is None else columns
-    margin = 2 / accuracy
-    edges = [edge for q in quantiles for edge in (max(q - margin, 0.0), min(q + margin, 1.0))]
-    sketch = df.agg(
-        *[F.percentile_approx(quoted(c).cast("double"), edges, accuracy).alias(f"b{i}") for i, c in enumerate(columns)]
-    ).first()
-    # slice number -> (column, quantile, lowest value, highest value)
-    slices = [
-        (c, q, *sketch[f"b{i}"][2 * j : 2 * j + 2])
-        for i, c in enumerate(columns)
-        if sketch[f"b{i}"] is not None
-        for j, q in enumerate(quantiles)
-    ]
     per_column = [
         F.struct(
             F.count(quoted(c)).alias("count"),
@@ -107,20 +185,22 @@ def describe(
         ).alias(f"m{i}")
         for i, c in enumerate(columns)
     ]
-    below = [F.count_if(quoted(c) < low).alias(f"w{k}") for k, (c, _, low, _) in enumerate(slices)]
-    wide = df.agg(*per_column, *below)
+    wide = df.agg(*per_column)
+    row = wide.first()
+    wide = df.sparkSession.createDataFrame([row], wide.schema)  # one row, so it is not computed again
     moments = wide.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m")) for i, c in enumerate(columns)]))
     ).select("column", "m.*")
+    slices = _rank_slices(df, {c: row[f"m{i}"]["count"] for i, c in enumerate(columns)}, quantiles, accuracy)
     if not slices:
         return moments.select(
             "column", "count", "mean", "std", "min", *[F.lit(None).cast("double").alias(_p(q)) for q in quantiles], "max"
         )
 
-    inside = [quoted(c).between(low, high) for c, _, low, high in slices]
+    inside = [part.holds() for part in slices]
     cells = [
-        F.struct(F.lit(k).alias("slice"), F.when(held, quoted(c).cast("double")).alias("value"))
-        for k, ((c, *_), held) in enumerate(zip(slices, inside))
+        F.struct(F.lit(k).alias("slice"), F.when(held, quoted(part.column).cast("double")).alias("value"))
+        for k, (part, held) in enumerate(zip(slices, inside))
     ]
     values = (
         df.filter(reduce(Column.__or__, inside))
@@ -130,23 +210,14 @@ def describe(
         .agg(F.count(F.lit(1)).alias("times"))
     )
     # one row per slice: rows of the slices before it, rows below its values, wanted ranks
-    columns_of = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("slice"),
-                F.lit(c).alias("column"),
-                F.lit(float(q)).alias("q"),
-                F.col(f"w{k}").alias("below"),
-                (F.col(f"m{columns.index(c)}.count") - 1).alias("steps"),
-            )
-            for k, (c, q, _, _) in enumerate(slices)
-        ]
+    known = df.sparkSession.createDataFrame(
+        [(k, part.column, float(part.quantile), part.below, part.count - 1) for k, part in enumerate(slices)],
+        "slice int, column string, q double, below bigint, steps bigint",
     )
     sizes = values.groupBy("slice").agg(F.sum("times").alias("held"))
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     wanted = (
-        wide.select(F.inline(columns_of))
-        .join(sizes, on="slice")
+        known.join(sizes, on="slice")
         .withColumn("skip", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
         .withColumn("place", F.col("steps") * F.col("q"))
     )
@@ -156,13 +227,12 @@ def describe(
         return F.max(F.when((rank > last - F.col("times")) & (rank <= last), F.col("value")))
 
     low, high, part = F.col("low"), F.col("high"), F.col("place") - F.floor("place")
-    missed = F.raise_error(F.lit("the quantile sketch broke its error bound")).cast("double")
     exact = (
         running_total(values, ["slice", "value"], "times", "upto", **options)
         .join(F.broadcast(wanted), on="slice")  # columns x quantiles rows
         .groupBy("slice", "column", "q", "place")
         .agg(at_rank(F.floor("place") + 1).alias("low"), at_rank(F.ceil("place") + 1).alias("high"))
-        .withColumn("exact", F.when(low.isNull() | high.isNull(), missed).otherwise(low + (high - low) * part))
+        .withColumn("exact", low + (high - low) * part)
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("q") == float(q), F.col("exact"))).alias(_p(q)) for q in quantiles])
     )
