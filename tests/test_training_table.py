@@ -153,6 +153,31 @@ def test_stored_training_table_prunes_months(spark, table, tmp_path):
         store_training_table(empty, str(tmp_path / "nulls"), datetime.date(2024, 1, 31))
 
 
+def test_null_columns_are_found_while_writing(spark, tmp_path, monkeypatch):
+    """The refusal needs no second look at the table, and names the columns; an empty table passes."""
+    schema = "year int, month int, `a.b` double, c string, d int"
+    rows = spark.createDataFrame([(2024, 1, None, "x", None), (2024, 2, None, None, None)], schema)
+    stored = store_training_table(rows.limit(0), str(tmp_path / "none"), datetime.date(2024, 1, 31))
+    assert stored.columns == rows.columns and stored.count() == 0
+    monkeypatch.setattr(type(spark.read), "parquet", lambda *_: pytest.fail("the written table was read"))
+    with pytest.raises(ValueError, match="nothing but nulls: a.b, d$"):
+        store_training_table(rows, str(tmp_path / "nulls"), datetime.date(2024, 1, 31))
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(200_000).select(
+        F.lit(2024).alias("year"), F.lit(1).alias("month"), F.xxhash64("id").alias("a"), F.sha2(F.col("id").cast("string"), 256).alias("b")
+    )
+    limit = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        stored = store_training_table(rows, str(tmp_path), datetime.date(2024, 1, 31))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", limit)
+    assert stored.count() == 200_000
+    assert stored.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_scoring_interval(sources):
     start, end = datetime.datetime(2023, 1, 3), datetime.datetime(2023, 1, 12)
     scored = scoring_table(sources, start, end)

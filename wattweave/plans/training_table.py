@@ -7,7 +7,7 @@ import posixpath
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wattweave.functions.calendar import add_time_features
@@ -16,10 +16,10 @@ from wattweave.functions.columns import (
     drop_any_null,
     narrow_to_32_bits,
     product_name,
+    quoted,
     segment,
     select_names,
 )
-from wattweave.operators.aggregates import has_null_column
 from wattweave.operators.joins import (
     add_entity_id,
     add_target_lags,
@@ -267,13 +267,17 @@ def store_training_table(table: DataFrame, base: str, run_date: datetime.date) -
     Models read it many times, and folds filter on its partition columns. A table with a
     column of nulls only is refused.
     """
-    path = run_path(base, run_date)
-    table.repartition("year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
-    stored = read_table(table.sparkSession, path)
-    stored = stored.withColumns({name: F.col(name).cast(table.schema[name].dataType) for name in ("year", "month")})
-    if table.sparkSession.range(1).select(has_null_column(stored)).first()[0] and not stored.isEmpty():
-        raise ValueError("a column of the training table holds nothing but nulls")
-    return stored.select(table.columns)
+    path, written = run_path(base, run_date), Observation("written")
+    counts = [F.count(quoted(name)).alias(f"n{i}") for i, name in enumerate(table.columns)]
+    # counted on the way to the files; a task that runs twice makes no count zero and no zero more
+    watched = table.observe(written, F.count(F.lit(1)).alias("rows"), *counts)
+    # the hint gathers a month's rows into few files and splits a month too large for one task
+    watched.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    seen = written.get
+    empty = [name for i, name in enumerate(table.columns) if seen["rows"] and not seen[f"n{i}"]]
+    if empty:
+        raise ValueError(f"a column of the training table holds nothing but nulls: {', '.join(empty)}")
+    return table.sparkSession.read.schema(table.schema).parquet(path).select(*map(quoted, table.columns))
 
 
 def scoring_table(sources: Sources, start, end, **options) -> DataFrame:
