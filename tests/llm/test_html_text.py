@@ -1,5 +1,6 @@
 import html as html_module
 import re
+import time
 
 import pytest
 from conftest_llm import DATA, needs_data, sentence
@@ -110,3 +111,33 @@ def test_rows_columns_and_empty_table(spark, rng):
         by_id.setdefault(r["page_id"], []).append((r["text"], r["n_chars"]))
     assert by_id[1] == [("", 0)] and by_id[None] == [("hi 😀", 4)] and len(by_id[2]) == 2 and by_id[2][0][1] > 200_000
     assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("section", ["<![foo[x]]>", "<![ foo", "<![if !IE]>", "<![endif]-->", "<![CDATA[x]]>", "<![", "<!x y>", "<![]>"])
+def test_unknown_declarations_do_not_end_the_job(rng, section):
+    words = sentence(rng, 40)
+    assert words in html_text.main_text(page(f"<p>{words}</p>") + section)
+    after = html_text.main_text(f"<body><p>{words}</p>{section}</p><p>{words}</p></body>")
+    assert after.startswith(words)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>a" * 100_000,
+        "<div>a" * 50_000 + "</div>" * 50_000,
+        "<p><div>" + "<i>" * 50_000 + "<hr>x" * 50_000,
+        "text " + "<a" * 200_000,
+        "<p>x" * 100_000,
+        "<article>" * 50_000 + "<p>x</p>" * 50_000,
+    ],
+)
+def test_time_grows_with_the_length(html):
+    begun = time.process_time()
+    html_text.main_text(html)
+    assert time.process_time() - begun < 6
+
+
+def test_cut_off_tags_are_no_text():
+    assert html_text.main_text("<p>a < b > c</p><p>end <a href='x") == "a < b > c\n\nend"
+    assert html_text.main_text("words <!-- open") == "words"

@@ -14,7 +14,10 @@ lines short for their page outside the smallest region of all the others.
 Furniture is told by element, by role, by hidden marks and by words in class and id.
 
 Null and empty pages, and pages without content, have the empty text. A page is parsed
-whole, however long. Equal pages get equal texts; every row gives a row.
+whole, however long, in time that grows with its length, also where elements nest deeply or
+stay open. Declarations of unknown kinds are comments. Equal pages get equal texts; every row
+gives a row, so repeated ids stay repeated, an empty table gives an empty one, and other columns
+of the table are left out whatever their names. Equal values of the two clusters' border go below it.
 """
 
 from __future__ import annotations
@@ -66,7 +69,7 @@ ENDS = {tag: [ended for ended, by in ENDED_BY.items() if tag in by] for tag in {
 #: Elements that such an implied end does not reach beyond.
 WALLS = frozenset("table ul ol dl div section article main body select".split())
 WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
-OPEN_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
+TAG_START = re.compile(r"<[A-Za-z/!?]")
 
 SIGMA = 1.0
 
@@ -92,13 +95,20 @@ def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags before and in it, path of open elements, furniture or not."""
+    """Lines of a page: text, tags before and in it, innermost open element, furniture or not.
+
+    Elements are numbered as they open, so those inside element n, and no others, have the
+    numbers from n to ``last[n]``; -1 is the page. Every step costs the same however deep the page is.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, number of the element, furniture
+        self.places: dict[str, list[int]] = {}  # tag -> where in ``open`` it is
         self.names: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.parents: list[int] = []
+        self.last: list[int] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
         self.tags = 0
 
@@ -106,10 +116,16 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         self.parts.clear()
         if text:
-            path = tuple(number for _, number, _ in self.open)
-            self.lines.append((text, self.tags, path, bool(self.open) and self.open[-1][2]))
+            _, number, furniture = self.open[-1] if self.open else ("", -1, False)
+            self.lines.append((text, self.tags, number, furniture))
             self.tags = 0
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Where a section ``<![...`` ends; all but CDATA are comments up to the next ``>``, as in browsers."""
+        end = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        at = self.rawdata.find(end, i + 3)
+        return at + len(end) if at >= 0 else -1
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         block = tag in BLOCK
         marked = _marked(tag, attrs)
@@ -122,8 +138,13 @@ class _Lines(HTMLParser):
             self._end(ended, WALLS)
         if tag in VOID:
             return
+        _, parent, furniture = self.open[-1] if self.open else ("", -1, False)
+        number = len(self.names)
         self.names.append(tag)
-        self.open.append((tag, len(self.names) - 1, marked or bool(self.open) and self.open[-1][2]))
+        self.parents.append(parent)
+        self.last.append(-1)
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, number, marked or furniture))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, "/>" ends void elements only
@@ -137,15 +158,27 @@ class _Lines(HTMLParser):
 
     def _end(self, tag: str, walls: frozenset[str]) -> None:
         """End the innermost open element of this name, and all inside it, unless a wall is between."""
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == tag:
-                if any(t in BLOCK or marked for t, _, marked in self.open[k:]):
-                    self.flush()
-                del self.open[k:]
-                return
-            if name in walls:
-                return
+        at = self._place(tag)
+        if at < 0 or any(self._place(wall) > at for wall in walls):
+            return
+        if any(t in BLOCK or marked for t, _, marked in self.open[at:]):
+            self.flush()
+        self._close(at)
+
+    def _place(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def _close(self, at: int) -> None:
+        while len(self.open) > at:
+            tag, number, _ = self.open.pop()
+            self.places[tag].pop()
+            self.last[number] = len(self.names) - 1
+
+    def finish(self) -> None:
+        self.close()
+        self.flush()
+        self._close(0)
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
@@ -175,9 +208,9 @@ def main_text(html: str | None) -> str:
     if not isinstance(html, str) or not html:
         return ""
     parser = _Lines()
-    parser.feed(OPEN_TAG.sub("", html))  # a tag that the page's end cuts off is no text
-    parser.close()
-    parser.flush()
+    cut_off = TAG_START.search(html, html.rfind(">") + 1)  # a tag that the page's end cuts off is no text
+    parser.feed(html[: cut_off.start()] if cut_off else html)
+    parser.finish()
     lines = parser.lines
     usable = [k for k, line in enumerate(lines) if not line[3]]
     if not usable:
@@ -186,12 +219,29 @@ def main_text(html: str | None) -> str:
     values = np.maximum(ratios, _smoothed(ratios))
     content = _upper_cluster(np.concatenate([values, np.zeros(len(lines))]))
     seeds = [k for k in usable if content[k]] or usable
-    holders = set(lines[seeds[0]][2]).intersection(*[lines[k][2] for k in seeds])
-    regions = [number for number in holders if parser.names[number] in REGIONS]
+    owners = np.array([lines[k][2] for k in usable])
+    first, final = min(lines[k][2] for k in seeds), max(lines[k][2] for k in seeds)
+    holders = []  # elements around all seeds, innermost first
+    number = first
+    while number >= 0:
+        if parser.last[number] >= final:
+            holders.append(number)
+        number = parser.parents[number]
+    inside = np.sort(owners)
+
+    def held(n: int) -> int:
+        """Usable lines in element n."""
+        return int(np.searchsorted(inside, parser.last[n], "right") - np.searchsorted(inside, n, "left"))
+
     # of nested regions the innermost, else the innermost container of several lines, else the page
-    several = [n for n in holders if parser.names[n] in CONTAINERS and sum(n in lines[k][2] for k in usable) > 1]
-    region = max(regions or several, default=None)
-    return "\n\n".join(lines[k][0] for k in usable if region is None or region in lines[k][2])
+    regions = (n for n in holders if parser.names[n] in REGIONS)
+    several = (n for n in holders if parser.names[n] in CONTAINERS and held(n) > 1)
+    region = next(regions, None)
+    if region is None:
+        region = next(several, None)
+    if region is None:
+        return "\n\n".join(lines[k][0] for k in usable)
+    return "\n\n".join(lines[k][0] for k in usable if region <= lines[k][2] <= parser.last[region])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
