@@ -80,6 +80,29 @@ def test_repeated_query_rows_count_once(vectors):
     assert lists(ann.nearest(vectors(rows))) == {0: [(3, 0.5)]}
 
 
+@pytest.mark.parametrize("size", [1e140, 1e-140, 1e-300])
+def test_components_of_any_size(vectors, size):
+    """The same neighbours as of vectors near 1, as long as the products are numbers; no crash beyond."""
+    rng = np.random.default_rng(8)
+    plain = rng.normal(size=(400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(plain * size)]
+    table = vectors(rows).sparkSession.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = lists(ann.nearest(table))
+    assert all(len(near) == 20 for near in found.values()) and len(found) == 20
+    if size > 1e-300:
+        ids = np.arange(400)
+        products = plain @ plain.T
+        expected = {q: [(int(j), 0) for j in np.lexsort((ids, -products[q])) if j != q][:20] for q in range(0, 400, 20)}
+        assert recall(found, expected) > 0.9
+
+
+def test_products_beyond_the_doubles(vectors):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1.0]), (2, [-1e200, -1.0]), (3, [1e200, -1e200]), (4, [1.0, 0.0])]
+    table = vectors([]).sparkSession.createDataFrame(rows, "vec_id long, embedding array<double>")
+    inf = float("inf")
+    assert lists(ann.nearest(table)) == {0: [(1, inf), (4, 1e200), (2, -inf), (3, -inf)]}
+
+
 def test_empty_table(vectors):
     found = ann.nearest(vectors([]))
     assert found.columns == ["query_id", "rank", "vec_id", "score"] and found.collect() == []

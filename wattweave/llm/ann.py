@@ -17,7 +17,10 @@ radius grows until there are k or the shard is used up; so k neighbours are alwa
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part,
 nor do those of another length than most. Rows with the query's own id are no candidates
-of it. Equal vectors tie and the smaller id wins. A repeated query counts once.
+of it. Equal vectors tie and the smaller id wins. A repeated query counts once. Codes of very
+large or small vectors are made from scaled ones; their scores are the products in doubles, so
+they may be infinite, and one that is no number (infinite parts of both signs) is -infinity.
+An empty table gives an empty result; other columns of the table play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ BITS = 64
 PIECE = 8
 SHARD = 8192
 BLOCK = 4096
+LOWEST, HIGHEST = 1e-100, 1e100
 
 _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 
@@ -41,8 +45,9 @@ _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 class BinaryCoder:
     """Rotated sign codes of vectors, with the radius to search."""
 
-    def __init__(self, sample: np.ndarray, norm: float, k: int, rounds: int = 30, seed: int = 3):
-        self.norm = norm
+    def __init__(self, sample: np.ndarray, norm: float, k: int, rounds: int = 30, seed: int = 3, scale: float = 1.0):
+        """``norm`` is the largest norm of all vectors times ``scale``; codes are those of the scaled vectors."""
+        self.norm, self.scale = norm, scale
         full = self._widened(sample)
         self.mean = full.mean(axis=0)
         centred = full - self.mean
@@ -59,6 +64,7 @@ class BinaryCoder:
         self.radius = self._radius(sample, k)
 
     def _widened(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
+        vectors = vectors * self.scale
         rest = self.norm**2 - (vectors**2).sum(axis=1)
         return np.column_stack([vectors, np.zeros(len(vectors)) if query else np.sqrt(np.maximum(rest, 0))])
 
@@ -71,7 +77,7 @@ class BinaryCoder:
         codes = self.codes(sample)
         far = []
         for q in queries:
-            score = sample @ sample[q]
+            score = (sample * self.scale) @ (sample[q] * self.scale)
             score[q] = -np.inf
             near = np.argsort(-score, kind="stable")[: min(k, len(sample) - 1)]
             own = self.codes(sample[q : q + 1], query=True)
@@ -110,7 +116,9 @@ class MultiIndex:
             if len(found) >= k or radius >= most:
                 break
             radius = min(most, radius + self.coder.pieces)
-        scores = (self.vectors[found] * query).sum(axis=1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = (self.vectors[found] * query).sum(axis=1)
+        scores[np.isnan(scores)] = -np.inf
         if len(scores) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             found, scores = found[scores >= least], scores[scores >= least]
@@ -129,7 +137,10 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def fit(rows: DataFrame, k: int) -> tuple[BinaryCoder, int] | None:
     """Coder for the vectors of the most frequent length, and their number; None without any."""
     size, square = F.size("vector"), F.aggregate("vector", F.lit(0.0), lambda t, x: t + x * x)
-    lengths = rows.groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.max(square).alias("square"))
+    largest = F.array_max(F.transform("vector", F.abs))
+    lengths = rows.groupBy(size.alias("size")).agg(
+        F.count("*").alias("n"), F.max(square).alias("square"), F.max(largest).alias("largest")
+    )
     most = lengths.orderBy(F.desc("n"), "size").first()
     if most is None:
         return None
@@ -137,7 +148,11 @@ def fit(rows: DataFrame, k: int) -> tuple[BinaryCoder, int] | None:
     # by hash order: at most SAMPLE rows come to the driver, the same ones every time
     sample = own.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     table = np.array([r["vector"] for r in sample], float)
-    return BinaryCoder(table, float(np.sqrt(most["square"])), k), most["n"]
+    norm, scale = float(np.sqrt(most["square"])), 1.0
+    if not LOWEST < norm < HIGHEST:
+        # squares leave the range of doubles: components are brought below 1 by a power of two
+        norm, scale = float(np.sqrt(most["size"])), 2.0 ** -max(-1000, min(1023, int(np.frexp(most["largest"])[1])))
+    return BinaryCoder(table, norm, k, scale=scale), most["n"]
 
 
 def nearest(
