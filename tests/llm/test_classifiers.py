@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -119,6 +120,38 @@ def test_toxic_words_are_found_in_long_texts(docs, labels):
     assert np.mean([found[i] == t for i, _, t, _ in marks]) > 0.98
 
 
+def test_long_labelled_texts_are_learned_from(docs, labels):
+    """All labelled texts are far longer than a chunk of the older bound, with the words at their ends."""
+    rng = random.Random(4)
+    filler = [sentence(rng, 12_000) for _ in range(6)]
+    rows, marks = [], []
+    for i in range(120):
+        text, toxic = filler[i % 6] + " " + sentence(rng, 5), i % 3 == 0
+        rows.append((i, text + (" you scumlord" if toxic else "")))
+        marks.append((i, 1, int(toxic), "t"))
+    assert min(len(text) for _, text in rows) > 50_000
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.report(docs(rows), labels(marks)).collect()}
+    assert found == {i: int(i % 3 == 0) for i in range(120)}
+
+
+def test_ratios_equal_a_plain_computation(spark):
+    rng = random.Random(5)
+    texts = [(i, int(i % 3 == 0), sentence(rng, 30) + (" vile fool" if i % 3 == 0 and rng.random() < 0.9 else "")) for i in range(300)]
+    sample = spark.createDataFrame(texts, "id long, label int, text string").repartition(4)
+    counts, n1 = {}, 100
+    for _, label, text in texts:
+        for bucket in toxicity._buckets(text).tolist():
+            counts.setdefault(bucket, [0, 0])[1 - label] += 1
+    seen = {r["bucket"]: [r["toxic"], r["clean"]] for r in toxicity.ngram_counts(sample).collect()}
+    assert seen == counts
+    ratio = {b: math.log((t + 1) / (n1 + 2) / ((c + 1) / (200 + 2))) for b, (t, c) in counts.items()}
+    far = {b: abs(ratio[b]) / math.sqrt(1 / (t + 1) + 1 / (c + 1)) for b, (t, c) in counts.items()}
+    for kept in (10, 4096):
+        got = {r["bucket"]: r["ratio"] for r in toxicity.far_ratios(toxicity.ngram_counts(sample), n1, 200, kept).collect()}
+        first = sorted((b for b in far if far[b] > toxicity.FAR), key=lambda b: (-round(far[b], 9), b))[:kept]
+        assert got.keys() == set(first) and all(abs(got[b] - ratio[b]) < 1e-12 for b in got) and got
+
+
 def test_chunks_lose_no_ngram(monkeypatch):
     text = sentence(random.Random(1), 400)
     whole = toxicity._buckets(text)
