@@ -28,4 +28,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from wattweave.registry import column_queries, energy, folds, joining, rolling, searching, tables  # noqa: F401
+    from wattweave.registry import column_queries, energy, folds, joining, measured_models  # noqa: F401
+    from wattweave.registry import rolling, searching, tables  # noqa: F401
