@@ -97,6 +97,60 @@ def test_infinite_values_stay_in_their_frame(spark):
     assert [r.v_day for r in means] == [float("inf"), float("inf"), 2.0]
 
 
+def dense_series(n, seed):
+    """Nine tenths of the points of a key within a second, half of these within two milliseconds."""
+    rng = random.Random(seed)
+    start = datetime.datetime(1969, 12, 30)
+    data = []
+    for i in range(n):
+        if i % 10 == 0:
+            micros = rng.randrange(0, 6 * 86_400_000_000)
+        else:
+            micros = 2 * 86_400_000_000 + 777_777 + rng.randrange(0, 2_000 if i % 2 else 1_000_000)
+            micros += rng.choice([0, 0, 86_400_000_000])
+        value = None if rng.random() < 0.1 else float(rng.randrange(1000))
+        data.append((rng.choice(["hot", "hot", "hot", "cold", None]), start + datetime.timedelta(microseconds=micros), value, 1))
+    return data
+
+
+@pytest.mark.parametrize("limit", [5, 400])
+def test_dense_buckets_equal_brute_force(spark, limit):
+    data = dense_series(500, limit)
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, v double, w int")
+    periods = {"day": windows.DAY, "half": datetime.timedelta(hours=12)}
+    means = windows.rolling_mean(df, ["k"], "t", ["v", "w"], periods, dense_rows=limit)
+    rows = repeat_rows(means, F.col("__copies")).collect()
+    for label, period in periods.items():
+        got = [
+            (str(r.k), r.t, None if r[f"v_{label}"] is None else round(r[f"v_{label}"], 9), round(r[f"w_{label}"], 9))
+            for r in rows
+        ]
+        assert sorted(got, key=str) == brute_force(data, period)
+
+
+def test_ties_do_not_make_a_bucket_dense(spark):
+    """Rows are many, but points few: counted once more as points, no bucket is cut."""
+    df = series(spark, [g[:3] for g in GOLDEN] * 30)
+    rows = windows.rolling_mean(df, ["k"], "t", ["v"], {"day": windows.DAY}, dense_rows=10).orderBy("t").collect()
+    assert [(r["__copies"], round(r.v_day, 4)) for r in rows] == [(30, 1.0), (30, 1.5), (60, 3.3333), (30, 4.25)]
+
+
+def test_parts_of_dense_buckets_are_bounded(spark):
+    widths = windows._widths(1_800_000_000)
+    assert widths[0] == 1_800_000_000 and widths[-1] == 1 and len(widths) <= 12
+    assert all(a % b == 0 and 1 < a // b <= windows.FANOUT for a, b in zip(widths, widths[1:]))
+    assert windows._widths(34) == [34, 17, 1] and windows._widths(19) == [19, 1] and windows._widths(23 * 29) == [667, 29, 1]
+    n, limit = 20_000, 500
+    marks = spark.range(n).selectExpr(
+        "'hot' AS __k0", "IF(id % 10 = 0, id * 1000000007L, 5000000000L + id) AS __at"
+    )
+    levels = windows._dense_nodes(marks, ["__k0"], widths, limit)
+    leaves = windows._below(marks, ["__k0"], widths, levels).groupBy("__k0", "__depth", "__leaf").count()
+    assert marks.groupBy(F.expr("__at DIV 1800000000")).count().agg(F.max("count")).scalar() >= 0.9 * n
+    assert leaves.agg(F.max("count")).scalar() <= limit
+    assert leaves.agg(F.sum("count")).scalar() == n
+
+
 def test_no_task_sees_a_whole_series(spark):
     """A hot key is spread over its time buckets: both full-size exchanges carry the bucket."""
     df = random_series(spark, 100, 4)
