@@ -115,3 +115,36 @@ def test_first_shingles_of_sets_that_differ_on_both_sides():
         every = numbers.integers(0, 2**63, common + left + right, dtype=near_dedup.np.uint64)
         a, b = near_dedup.np.sort(every[: common + left]), near_dedup.np.sort(near_dedup.np.delete(every, near_dedup.np.s_[common : common + left]))
         assert {*near_dedup._first_shingles(a)} & {*near_dedup._first_shingles(b)}
+
+
+def test_documents_without_a_near_copy_are_not_joined(docs, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, sentence(rng, 30)) for k in range(40)] + [(None, "a b"), (90, None)]
+    rows += [(50 + k, rows[k][1]) for k in range(4)]
+    seen, inner = [], near_dedup.parted
+
+    def parted(*tables):
+        parts = inner(*tables)
+        seen.append([part.count() for part in parts])
+        return parts
+
+    monkeypatch.setattr(near_dedup, "parted", parted)
+    kept = [r["doc_id"] for r in near_dedup.keep_one(docs(rows)).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [*range(40), None, 90]))
+    assert seen[-1] == [4, len(rows) - 4]
+
+
+def test_sets_outside_of_large_groups_are_not_expanded(spark):
+    """Only sets of a group are taken apart, not those of all ids."""
+    from pyspark.sql import functions as F
+
+    from wattweave.llm import components
+
+    sets = [(k, [0, 1, 2, 3, k % 4 + 10], 5) for k in range(40)] + [(99, [-1], 1)]
+    sets = spark.createDataFrame(sets, "id long, packed array<long>, size int")
+    members = sets.where("id < 40").select(
+        F.lit(0).alias("group"), "id", "size", (F.col("id") % 4).alias("component"), F.lit(40).alias("members"), F.lit(True).alias("several")
+    )
+    expand = lambda packed: F.when(packed[0] < 0, F.raise_error("not of the group")).otherwise(packed)
+    found = components._pairs_by_item(members, sets.select("id", "packed"), 60, expand).collect()
+    assert found and all(r["a"] % 4 != r["b"] % 4 for r in found)

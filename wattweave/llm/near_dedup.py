@@ -31,9 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattweave.llm.bitmap import parted
 from wattweave.llm.components import linked_components
 from wattweave.llm.texts import per_text
-from wattweave.session import durable
+from wattweave.session import discard, durable
 
 SHINGLE = 5
 PERCENT = 75
@@ -161,10 +162,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     rows = durable(rows.join(shared.select("key"), "key", "left_semi"))
 
-    wanted = rows.select("id").distinct()
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, "id", "left_semi")
+    wanted = durable(rows.select("id").distinct())
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = parted(texts, wanted.select(F.col("id").alias("key")), "id")[0].join(wanted, "id")
     sets = durable(shingle_sets(texts.dropDuplicates(["id"])))
     labels = linked_components(rows, sets, PERCENT)
+    discard(rows, wanted, sets)
     found = (
         known.select("id", "size", "digest")
         .join(owners, ["id", "digest"], "left")
@@ -180,5 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those whose component has a smaller id; rows without an id stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    return docs.join(found.where("not kept").select(id_col), id_col, "left_anti")
+    gone = durable(near_duplicates(docs, id_col, text_col).where("not kept").select(id_col).distinct())
+    # Only documents that may go are shuffled.
+    perhaps, others = parted(docs, gone.select(F.col(id_col).alias("key")), id_col)
+    return others.unionByName(perhaps.join(gone, id_col, "left_anti"))
