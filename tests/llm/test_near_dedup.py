@@ -134,8 +134,8 @@ def test_documents_without_a_near_copy_are_not_joined(docs, monkeypatch):
     assert seen[-1] == [4, len(rows) - 4]
 
 
-def test_sets_outside_of_large_groups_are_not_expanded(spark):
-    """Only sets of a group are taken apart, not those of all ids."""
+def test_sets_outside_of_large_groups_are_not_expanded(spark, monkeypatch):
+    """Only sets of a group are taken apart, and items of one component only don't meet."""
     from pyspark.sql import functions as F
 
     from wattweave.llm import components
@@ -145,6 +145,28 @@ def test_sets_outside_of_large_groups_are_not_expanded(spark):
     members = sets.where("id < 40").select(
         F.lit(0).alias("group"), "id", "size", (F.col("id") % 4).alias("component"), F.lit(40).alias("members"), F.lit(True).alias("several")
     )
-    expand = lambda packed: F.when(packed[0] < 0, F.raise_error("not of the group")).otherwise(packed)
-    found = components._pairs_by_item(members, sets.select("id", "packed"), 60, expand).collect()
+    written, inner = [], components.durable
+    monkeypatch.setattr(components, "durable", lambda df: written.append(inner(df)) or written[-1])
+    found = components._pairs_by_item(members, sets.select("id", "packed"), 60, lambda packed: packed).collect()
     assert found and all(r["a"] % 4 != r["b"] % 4 for r in found)
+    assert "packed" in written[0].columns and written[0].count() == 40
+    known = next(df for df in written if "across" in df.columns).collect()
+    assert {r["item"] for r in known if not r["across"]} == {10, 11, 12, 13}
+
+
+def test_only_sets_of_pairs_are_compared(spark, monkeypatch):
+    from wattweave.llm import components
+
+    sets = spark.createDataFrame([(k, [1, 2, 3, k + 10], 4) for k in range(50)], "id long, packed array<long>, size int")
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "a long, b long")
+    seen, inner = [], components.parted
+
+    def parted(*tables):
+        parts = inner(*tables)
+        seen.append(sorted(r["id"] for r in parts[0].collect()))
+        return parts
+
+    monkeypatch.setattr(components, "parted", parted)
+    linked = components.linked(pairs, sets, 60, lambda packed: packed, lambda pairs: pairs.where("a < 5"))
+    assert sorted(map(tuple, linked.collect())) == [(1, 2), (3, 4)]
+    assert seen == [[1, 3], [2, 4]]
